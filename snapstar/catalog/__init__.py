@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from snapstar.catalog import silver  # noqa: F401 (each module registers its queries)
+from snapstar.catalog import nested, silver  # noqa: F401 (each module registers its queries)
 from snapstar.catalog.base import ORACLES, QUERIES, Query
 
 

@@ -136,3 +136,20 @@ def films(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def film_columns() -> list[Column]:
     return [F.expr(sql).alias(field) for field, sql in FILM.items()]
+
+
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier in the columns of a line, for documents that need a file each."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as l_orderkey",
+        "s_suppkey as l_partkey",
+        "s_suppkey as l_suppkey",
+        "s_suppkey % 7 + 1 as l_linenumber",
+        "s_acctbal as l_extendedprice",
+        "s_acctbal as l_quantity",
+        "s_acctbal as l_discount",
+        "substr('ANR', cast(s_suppkey % 3 + 1 as int), 1) as l_returnflag",
+        "if(s_nationkey < 12, 'F', 'O') as l_linestatus",
+        "timestamp_ntz'2026-04-01 00:00:00' as l_shipdate",
+        f"if(s_nationkey < 12, date'{FIRST_DAY}', date'{SECOND_DAY}') as snapshot_date",
+    )

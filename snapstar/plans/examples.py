@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,12 @@ def flatten_documents(documents: DataFrame) -> dict[str, DataFrame]:
 
 
 def flatten_file(spark: SparkSession, path: str, out_root: str, day: Day) -> None:
-    """Flatten one document, schema inferred, into 11 tables."""
-    for name, rows in flatten_documents(read_inferred(spark, path, day)).items():
+    """Flatten documents, schema inferred, into 11 tables.
+
+    Text has no columns to prune: each table would parse every document again,
+    so here the parsed rows are kept, on disk where memory ends.
+    """
+    documents = read_inferred(spark, path, day).persist(StorageLevel.MEMORY_AND_DISK)
+    for name, rows in flatten_documents(documents).items():
         append(rows, f"{out_root}/{name}")
+    documents.unpersist()

@@ -14,7 +14,7 @@ def read_raw_files(spark: SparkSession, root: str, day: Day = None) -> DataFrame
     Without a day, all days are read. The path gives the day and the id.
     """
     pattern = f"{root}/snapshot_date={day or '*'}/movie_id=*.json"
-    files = spark.read.option("wholetext", True).text(pattern)
+    files = spark.read.text(pattern, wholetext=True)
     path = F.col("source_file")
     return (
         files.withColumnRenamed("value", "raw_json")
