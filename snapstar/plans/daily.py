@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from snapstar.functions.columns import Day
@@ -13,21 +15,18 @@ from snapstar.plans.parse import write_parsed
 from snapstar.plans.silver import build_silver
 from snapstar.schemas import RAW_DDL, SILVER_TABLES
 from snapstar.sinks.publish import publish
-from snapstar.sinks.write import overwrite
+from snapstar.sinks.write import at_once, overwrite
 from snapstar.sources.tables import one_day, read_table, source_tables
 
 
 def build_marts(spark: SparkSession, tables: dict[str, DataFrame], marts: str, *, full_refresh: bool = False) -> None:
     """Rewrite dimensions and bridges, and advance the fact."""
     views = build_staging(source_tables(tables), register=True)
-    for name, rows in (build_dims(views) | build_bridges(views)).items():
-        overwrite(rows, f"{marts}/{name}")
-    advance_fact(
-        spark,
-        views["stg_fact_movie_daily_snapshot"],
-        f"{marts}/fct_movie_daily_snapshot",
-        full_refresh=full_refresh,
-    )
+    models = build_dims(views) | build_bridges(views)
+    jobs = [partial(overwrite, rows, f"{marts}/{name}") for name, rows in models.items()]
+    fact = views["stg_fact_movie_daily_snapshot"]
+    jobs.append(partial(advance_fact, spark, fact, f"{marts}/fct_movie_daily_snapshot", full_refresh=full_refresh))
+    at_once(jobs)
 
 
 MARTS = [*DIMENSIONS, *BRIDGES, "fct_movie_daily_snapshot"]
@@ -40,9 +39,8 @@ def run_after_landing(
     landed = one_day(read_table(spark, f"{root}/raw", RAW_DDL), day)
     write_parsed(landed, f"{root}/parsed", mode)
     build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode)
-    audit = publish(
-        spark, {name: f"{root}/silver/{name}" for name in SILVER_TABLES}, database, f"{root}/warehouse"
-    )
+    tables = {name: f"{root}/silver/{name}" for name in SILVER_TABLES}
+    audit = publish(spark, tables, database, f"{root}/warehouse", day=day)
     published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
     build_marts(spark, published, f"{root}/marts")
     return audit

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from snapstar.schemas import (
     PERSON_FIELDS,
     names,
 )
-from snapstar.sinks.write import DAILY_MODES, overwrite
+from snapstar.sinks.write import DAILY_MODES, at_once, overwrite
 from snapstar.sources.tables import one_day, read_table
 
 
@@ -88,8 +88,7 @@ def build_silver(
     Every table reads its own nested columns of the parsed table, so nothing is
     cached. With ``replace_day`` the fact is read back from ``movies``, whose day
     then holds each film once; after appends it may hold several copies, so the
-    fact comes from the documents again. ``parallel`` tables are written at a
-    time, to fill the cluster while another one finishes its last tasks.
+    fact comes from the documents again.
     """
     history = read_table(spark, parsed_path, PARSED_DDL)
     today = one_day(history, day)
@@ -108,9 +107,5 @@ def build_silver(
     def write_dim(table: str) -> None:
         overwrite(silver_table(history, table), f"{silver_root}/{table}")
 
-    with ThreadPoolExecutor(parallel) as pool:
-        writes = [pool.submit(write_films)]
-        writes += [pool.submit(write_child, table) for table in CHILDREN]
-        writes += [pool.submit(write_dim, table) for table in HISTORY_TABLES]
-        for write in writes:
-            write.result()
+    jobs = [write_films, *[partial(write_child, t) for t in CHILDREN], *[partial(write_dim, t) for t in HISTORY_TABLES]]
+    at_once(jobs, parallel)

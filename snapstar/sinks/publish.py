@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapstar.functions.columns import Day
 from snapstar.schemas import DAILY_TABLES
-from snapstar.sinks.write import DAY
+from snapstar.sinks.write import DAY, at_once
+from snapstar.sources.tables import one_day
 
 AUDIT_DDL = "table_name string, status string, num_rows bigint, error string"
 
@@ -38,6 +41,16 @@ def publish_table(
     return spark.table(table).count()
 
 
+def publish_day(spark: SparkSession, rows: DataFrame, table: str, day: Day) -> int:
+    """Replace one day of a table partitioned by day; returns the day's row count."""
+    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != DAY)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY} = DATE'{day}') SELECT {columns} FROM {{rows}}",
+        rows=one_day(rows, day),
+    )
+    return one_day(spark.table(table), day).count()
+
+
 def publish(
     spark: SparkSession,
     tables: Mapping[str, DataFrame | str],
@@ -45,27 +58,30 @@ def publish(
     location: str,
     *,
     replace: bool = True,
+    day: Day = None,
+    parallel: int = 4,
 ) -> DataFrame:
     """Publish every table, given as rows or as a parquet path; one audit row per table.
 
-    A table that fails is reported and the others go on.
+    A table that fails is reported and the others go on. With a ``day``, daily
+    tables that exist get that day only, and the audit counts its rows.
     """
     ensure_database(spark, database, location)
-    audit = []
-    for name, given in tables.items():
+
+    def load(name: str, given: DataFrame | str) -> tuple:
+        table, by_day = f"`{database}`.`{name}`", name in DAILY_TABLES
         try:
             rows = spark.read.parquet(given) if isinstance(given, str) else given
-            count = publish_table(
-                spark,
-                rows,
-                f"`{database}`.`{name}`",
-                replace=replace,
-                by_day=name in DAILY_TABLES,
-                location=f"{location}/{name}",
-            )
-            audit.append((name, "loaded", count, None))
+            if by_day and day is not None and spark.catalog.tableExists(f"{database}.{name}"):
+                count = publish_day(spark, rows, table, day)
+            else:
+                path = f"{location}/{name}"
+                count = publish_table(spark, rows, table, replace=replace, by_day=by_day, location=path)
+            return name, "loaded", count, None
         except Exception as error:  # one bad table must not stop the rest
-            audit.append((name, "failed", None, str(error)))
+            return name, "failed", None, str(error)
+
+    audit = at_once([partial(load, name, given) for name, given in tables.items()], parallel)
     return spark.createDataFrame(audit, AUDIT_DDL)
 
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
 from pyspark.sql import DataFrame
 
+T = TypeVar("T")
+
 DAY = "snapshot_date"
 
 
@@ -49,3 +55,10 @@ def inspect(rows: DataFrame) -> None:
     """Print the schema and some rows, untruncated."""
     rows.printSchema()
     rows.show(truncate=False)
+
+
+def at_once(jobs: list[Callable[[], T]], parallel: int = 4) -> list[T]:
+    """Run independent writes, some at a time, so that one fills the cluster while another ends."""
+    with ThreadPoolExecutor(parallel) as pool:
+        running = [pool.submit(job) for job in jobs]
+        return [job.result() for job in running]
