@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.catalog.base import query
+from snapstar.catalog.base import query, register
 from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, day, films, table
 from snapstar.catalog.silver import MART_SQL, SILVER_SQL, staged_rows
 from snapstar.operators.incremental import newer_rows
 from snapstar.operators.keyed import insert_absent, upsert
 from snapstar.plans import marts, silver
+from snapstar.plans.carry import carry
 from snapstar.plans.landing import land
-from snapstar.plans.marts import FACT_DDL, advance_bridge, advance_fact, advance_genre_bridge, merge_days
-from snapstar.schemas import BRIDGE_CAST_COLUMNS, FACT_FIELDS, RAW_DDL
+from snapstar.plans.marts import FACT_DDL, advance_fact, merge_days
+from snapstar.schemas import FACT_FIELDS, HISTORY_TABLES, RAW_DDL
 from snapstar.session import scratch
 from snapstar.sinks.write import append_days, balanced, overwrite, replace_days
 from snapstar.sources.tables import one_day, read_table
@@ -184,18 +185,45 @@ def merge_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, FACT_DDL)
 
 
-# --- one more day on top of a bridge -----------------------------------------------------
-@query("advance_bridge_cast", MART_SQL["bridge_movie_cast"])
-def advance_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staged_rows(spark, sf_dir, "stg_movie_cast")
-    before = marts.cast_bridge(one_day(staged, FIRST_DAY))
-    return advance_bridge(before, one_day(staged, SECOND_DAY), BRIDGE_CAST_COLUMNS)
+# --- later days on top of a finished table ----------------------------------------------
+def _advanced(view: str, mart: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = staged_rows(spark, sf_dir, view)
+        _, build = (marts.DIMENSIONS | marts.BRIDGES)[mart]
+        return marts.ADVANCE[mart](build(one_day(staged, FIRST_DAY)), one_day(staged, SECOND_DAY))
 
+    return run
 
-@query("advance_bridge_genre", MART_SQL["bridge_movie_genre"])
-def advance_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staged_rows(spark, sf_dir, "stg_movie_genres")
-    return advance_genre_bridge(marts.genre_bridge(one_day(staged, FIRST_DAY)), one_day(staged, SECOND_DAY))
+
+for _mart, _view in {
+    "dim_movie": "stg_movies",
+    "bridge_movie_cast": "stg_movie_cast",
+    "bridge_movie_crew": "stg_movie_crew",
+    "bridge_movie_genre": "stg_movie_genres",
+}.items():
+    register(f"advance_{_mart}", _advanced(_view, _mart), MART_SQL[_mart])
+
+
+def _advanced_dim(table: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        documents = films(spark, sf_dir)
+        first = silver.silver_table(one_day(documents, FIRST_DAY), table)
+        return silver.advance_dim(first, one_day(documents, SECOND_DAY), table)
+
+    return run
+
+
+for _table in HISTORY_TABLES:
+    register(f"advance_silver_{_table}", _advanced_dim(_table), SILVER_SQL[_table])
+
+
+@query("late_day_rebuild", MART_SQL["bridge_movie_crew"])
+def late_day_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state of the second day only; the first day comes late and has it rebuilt."""
+    staged, path = staged_rows(spark, sf_dir, "stg_movie_crew"), scratch(spark, "state")
+    steps = marts.crew_bridge, marts.advance_crew_bridge
+    carry(spark, path, SECOND_DAY, one_day(staged, SECOND_DAY), *steps)
+    return carry(spark, path, FIRST_DAY, staged, *steps)
 
 
 # --- reruns ----------------------------------------------------------------------------

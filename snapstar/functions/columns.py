@@ -15,6 +15,11 @@ DAY_IN_PATH = r"snapshot_date=(\d{4}-\d{2}-\d{2})"
 Day = str | dt.date | None
 
 
+def run_date(day: Day = None) -> str:
+    """The day of a run as text, today when none is given: the same one for all its steps."""
+    return str(day or dt.date.today())
+
+
 def day_literal(day: Day = None) -> Column:
     """The run's day as a date; today when none is given."""
     return F.current_date() if day is None else F.lit(str(day)).cast("date")

@@ -23,3 +23,14 @@ def newer_rows(
     table partitioned by day older days are never read.
     """
     return delta.filter(F.col(day) > high_water_mark(target, day, default))
+
+
+def rows_of_same_days(rows: DataFrame, delta: DataFrame, day: str = "snapshot_date") -> DataFrame:
+    """The rows of the days that occur in ``delta``.
+
+    The days, at most one date per calendar day, come as one array from a scalar
+    subquery. As a filter on the partition column it prunes whole day folders
+    before they are read, which a join would not.
+    """
+    days = delta.agg(F.collect_set(day).alias("days")).scalar()
+    return rows.filter(F.array_contains(days, F.col(day)))

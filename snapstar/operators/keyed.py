@@ -42,12 +42,8 @@ def dimension(rows: DataFrame, columns: list[str], day: str = "snapshot_date") -
     return latest_per_key(seen, columns[:1], "_last").drop("_last")
 
 
-def rows_without(
-    rows: DataFrame, taken: DataFrame, keys: list[str], *, null_safe: bool = False, salts: int = SALTS
-) -> DataFrame:
-    """Rows whose key is not among the keys of ``taken``.
-
-    Null keys match nothing, as in a merge; with ``null_safe`` null matches null.
+def rows_without(rows: DataFrame, taken: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
+    """Rows whose key is not among the keys of ``taken``; null keys match nothing, as in a merge.
 
     Both sides get a salt: a row its own, a taken key all of them. A hot key of
     ``rows`` thus spreads over ``salts`` partitions, which the adaptive skew join
@@ -56,11 +52,7 @@ def rows_without(
     """
     salted = rows.withColumn("_salt", _salt(rows.columns, salts))
     absent = taken.select(*keys).distinct().withColumn("_salt", F.explode(F.lit(list(range(salts)))))
-    if not null_safe:
-        return salted.join(absent, [*keys, "_salt"], "left_anti").drop("_salt")
-    same = [F.col(f"row.{k}").eqNullSafe(F.col(f"taken.{k}")) for k in keys]
-    same.append(F.col("row._salt") == F.col("taken._salt"))
-    return salted.alias("row").join(absent.alias("taken"), same, "left_anti").drop("_salt")
+    return salted.join(absent, [*keys, "_salt"], "left_anti").drop("_salt")
 
 
 def _salt(columns: list[str], salts: int) -> Column:
@@ -75,8 +67,22 @@ def upsert(target: DataFrame, delta: DataFrame, keys: list[str], order: list[Col
 
 
 def insert_absent(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of ``delta`` to add to ``target``: one per key, none that is there already."""
-    return rows_without(one_per_key(delta, keys), target, keys)
+    """The rows of ``delta`` to add to ``target``: one per key, none that is there already.
+
+    Both sides have each key once by then, so no key is hot, and the join takes
+    over the partitions in which the rows were ranked.
+    """
+    return one_per_key(delta, keys).join(target.select(*keys).distinct(), keys, "left_anti")
+
+
+def supersede(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
+    """``current`` plus the rows of ``previous`` whose key it lacks; null equals null.
+
+    Both have each key once, so no key is hot.
+    """
+    same = [F.col(f"previous.{k}").eqNullSafe(F.col(f"current.{k}")) for k in keys]
+    kept = previous.alias("previous").join(current.select(*keys).alias("current"), same, "left_anti")
+    return kept.unionByName(current)
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:

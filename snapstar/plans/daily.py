@@ -6,12 +6,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstar.functions.columns import Day
+from snapstar.functions.columns import Day, run_date
 from snapstar.operators.quality import check_report
+from snapstar.plans.carry import carry
 from snapstar.plans.examples import first_example, second_example
 from snapstar.plans.landing import land_files
-from snapstar.plans.marts import BRIDGES, DIMENSIONS, advance_fact, build_bridges, build_dims, build_staging
-from snapstar.plans.parse import write_parsed
+from snapstar.plans.marts import ADVANCE, BRIDGES, DIMENSIONS, advance_fact, build_staging
+from snapstar.plans.parse import parse_landed
 from snapstar.plans.silver import build_silver
 from snapstar.schemas import RAW_DDL, SILVER_TABLES
 from snapstar.sinks.publish import publish
@@ -19,41 +20,64 @@ from snapstar.sinks.write import at_once, overwrite
 from snapstar.sources.tables import one_day, read_table, source_tables
 
 
-def build_marts(spark: SparkSession, tables: dict[str, DataFrame], marts: str, *, full_refresh: bool = False) -> None:
-    """Rewrite dimensions and bridges, and advance the fact."""
+def build_marts(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    marts: str,
+    *,
+    day: Day = None,
+    state_root: str | None = None,
+    full_refresh: bool = False,
+) -> None:
+    """Rewrite dimensions and bridges, and advance the fact.
+
+    With a ``day`` and a ``state_root``, the marts over all days go on from
+    their last state.
+    """
     views = build_staging(source_tables(tables), register=True)
-    models = build_dims(views) | build_bridges(views)
-    jobs = [partial(overwrite, rows, f"{marts}/{name}") for name, rows in models.items()]
-    fact = views["stg_fact_movie_daily_snapshot"]
-    jobs.append(partial(advance_fact, spark, fact, f"{marts}/fct_movie_daily_snapshot", full_refresh=full_refresh))
-    at_once(jobs)
+
+    def write(name: str) -> None:
+        view, build = (DIMENSIONS | BRIDGES)[name]
+        if state_root and name in ADVANCE:
+            rows = carry(spark, f"{state_root}/{name}", day, views[view], build, ADVANCE[name])
+        else:
+            rows = build(views[view])
+        overwrite(rows, f"{marts}/{name}")
+
+    def write_fact() -> None:
+        rows = views["stg_fact_movie_daily_snapshot"]
+        advance_fact(spark, rows, f"{marts}/fct_movie_daily_snapshot", full_refresh=full_refresh)
+
+    at_once([*[partial(write, name) for name in (*DIMENSIONS, *BRIDGES)], write_fact])
 
 
 MARTS = [*DIMENSIONS, *BRIDGES, "fct_movie_daily_snapshot"]
 
 
 def run_after_landing(
-    spark: SparkSession, root: str, database: str, day: Day, *, mode: str = "replace_day"
+    spark: SparkSession, root: str, database: str, day: Day = None, *, mode: str = "replace_day"
 ) -> DataFrame:
     """Parse, flatten, publish and model a day that is landed; returns the load audit."""
+    day = run_date(day)
     landed = one_day(read_table(spark, f"{root}/raw", RAW_DDL), day)
-    write_parsed(landed, f"{root}/parsed", mode)
-    build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode)
+    parse_landed(landed, f"{root}/parsed", mode)
+    build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode, state_root=f"{root}/state")
     tables = {name: f"{root}/silver/{name}" for name in SILVER_TABLES}
     audit = publish(spark, tables, database, f"{root}/warehouse", day=day)
     published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
-    build_marts(spark, published, f"{root}/marts")
+    build_marts(spark, published, f"{root}/marts", day=day, state_root=f"{root}/state/marts")
     return audit
 
 
 def run_day(
-    spark: SparkSession, files_root: str, root: str, database: str, day: Day, *, mode: str = "replace_day"
+    spark: SparkSession, files_root: str, root: str, database: str, day: Day = None, *, mode: str = "replace_day"
 ) -> DataFrame:
     """Land a day's files and bring everything up to date; returns the load audit.
 
-    With ``replace_day`` a rerun leaves the same tables; ``append`` doubles the
-    day in the daily tables.
+    Without a day it is today's run. With ``replace_day`` a rerun leaves the
+    same tables; ``append`` doubles the day in the daily tables.
     """
+    day = run_date(day)
     land_files(spark, files_root, f"{root}/raw", day)
     return run_after_landing(spark, root, database, day, mode=mode)
 

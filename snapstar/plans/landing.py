@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.functions.columns import Day
+from snapstar.operators.incremental import rows_of_same_days
 from snapstar.operators.keyed import insert_absent
 from snapstar.plans.marts import merge_days
 from snapstar.schemas import DOCUMENT_KEYS, RAW_DDL
@@ -17,22 +18,27 @@ from snapstar.sources.tables import read_or_empty
 def absent_documents(spark: SparkSession, incoming: DataFrame, landed_path: str) -> DataFrame:
     """Incoming documents that were not landed yet, one per film and day."""
     landed = read_or_empty(spark, landed_path, RAW_DDL)
-    # Only the days that arrive can hold their keys.
-    days = landed.join(incoming.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
-    return insert_absent(days, incoming, DOCUMENT_KEYS)
+    return insert_absent(rows_of_same_days(landed, incoming), incoming, DOCUMENT_KEYS)
 
 
-def land(spark: SparkSession, incoming: DataFrame, landed_path: str, *, replace: bool = False) -> None:
-    """Land documents; a document that is there stays, or with ``replace`` is replaced."""
+def land(
+    spark: SparkSession, incoming: DataFrame, landed_path: str, *, replace: bool = False, one_day: bool = False
+) -> None:
+    """Land documents; a document that is there stays, or with ``replace`` is replaced.
+
+    Documents of many days are shuffled once more, so that each day gets few
+    files. Those of ``one_day`` are written as the join left them.
+    """
     if replace:
         merge_days(spark, incoming, landed_path, RAW_DDL)
-    else:
-        append_days(balanced(absent_documents(spark, incoming, landed_path)), landed_path)
+        return
+    absent = absent_documents(spark, incoming, landed_path)
+    append_days(absent if one_day else balanced(absent), landed_path)
 
 
 def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *, replace: bool = False) -> None:
     """Land one day's files in the raw table, whose few large files replace the many small ones."""
-    land(spark, read_raw_files(spark, raw_root, day), landed_path, replace=replace)
+    land(spark, read_raw_files(spark, raw_root, day), landed_path, replace=replace, one_day=day is not None)
 
 
 def landed_count(spark: SparkSession, landed_path: str) -> DataFrame:

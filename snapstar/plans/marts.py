@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.functions.columns import all_present
-from snapstar.operators.incremental import newer_rows
-from snapstar.operators.keyed import latest_per_key, one_per_key, rows_without, upsert
+from snapstar.operators.incremental import newer_rows, rows_of_same_days
+from snapstar.operators.keyed import latest_per_key, one_per_key, supersede, upsert
 from snapstar.plans.silver import most_popular
 from snapstar.schemas import (
     BRIDGE_CAST_COLUMNS,
@@ -150,19 +150,32 @@ def merge_days(spark: SparkSession, delta: DataFrame, path: str, ddl: str, keys:
     if target is None:
         overwrite(balanced(one_per_key(delta, keys)), path, by=DAY)
         return
-    touched = target.join(delta.select(DAY).distinct(), DAY, "left_semi")
+    touched = rows_of_same_days(target, delta)
     replace_days(balanced(upsert(touched, delta, keys).select(*target.columns)), path)
 
 
-# --- one day on top of the last state ---------------------------------------------------------
-def advance_bridge(previous: DataFrame, staged_day: DataFrame, columns: str) -> DataFrame:
-    """A credit bridge after one more day, without reading older days again.
+# --- later days on top of a finished table -----------------------------------------------------
+def advance_dim_movie(previous: DataFrame, staged_days: DataFrame) -> DataFrame:
+    """The film dimension after later days, without reading older ones again."""
+    return supersede(previous, dim_movie(staged_days), ["movie_id"])
 
-    Valid when the day is later than all days in ``previous``: its credits then win.
-    """
-    today = credit_bridge(staged_day, columns)
-    return rows_without(previous, today, CREDIT_KEYS, null_safe=True).unionByName(today)
+
+def advance_cast_bridge(previous: DataFrame, staged_days: DataFrame) -> DataFrame:
+    return supersede(previous, cast_bridge(staged_days), CREDIT_KEYS)
+
+
+def advance_crew_bridge(previous: DataFrame, staged_days: DataFrame) -> DataFrame:
+    return supersede(previous, crew_bridge(staged_days), CREDIT_KEYS)
 
 
-def advance_genre_bridge(previous: DataFrame, staged_day: DataFrame) -> DataFrame:
-    return previous.unionByName(genre_bridge(staged_day)).distinct()
+def advance_genre_bridge(previous: DataFrame, staged_days: DataFrame) -> DataFrame:
+    return previous.unionByName(genre_bridge(staged_days)).distinct()
+
+
+# Marts over all days that can go on from their last state.
+ADVANCE = {
+    "dim_movie": advance_dim_movie,
+    "bridge_movie_cast": advance_cast_bridge,
+    "bridge_movie_crew": advance_crew_bridge,
+    "bridge_movie_genre": advance_genre_bridge,
+}

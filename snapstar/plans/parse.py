@@ -33,10 +33,12 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("id").isNull()).select(*LINEAGE)
 
 
-def write_parsed(raw: DataFrame, parsed_path: str, mode: str = "append") -> None:
-    DAILY_MODES[mode](balanced(readable(parse_documents(raw))), parsed_path)
+def parse_landed(landed: DataFrame, parsed_path: str, mode: str = "append") -> None:
+    """Parse documents of the landed table, whose files have a good size: no shuffle at all."""
+    DAILY_MODES[mode](readable(parse_documents(landed)), parsed_path)
 
 
 def parse_raw(spark: SparkSession, raw_root: str, parsed_path: str, day: Day, mode: str = "append") -> None:
-    """Parse one day's landed files into the parsed table."""
-    write_parsed(read_raw_files(spark, raw_root, day), parsed_path, mode)
+    """Parse one day's landed files, of one document each, into few large files."""
+    documents = readable(parse_documents(read_raw_files(spark, raw_root, day)))
+    DAILY_MODES[mode](balanced(documents), parsed_path)

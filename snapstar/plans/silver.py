@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from snapstar.functions.columns import Day, safe_date
 from snapstar.operators.explode import explode_child
-from snapstar.operators.keyed import dimension, one_per_key
+from snapstar.operators.keyed import dimension, one_per_key, supersede
+from snapstar.plans.carry import carry
 from snapstar.schemas import (
     CHILDREN,
     DIMS,
@@ -51,10 +52,11 @@ def history_dim(documents: DataFrame, table: str) -> DataFrame:
 def people(documents: DataFrame) -> DataFrame:
     """Everyone credited, from cast and crew together.
 
-    Two branches read different nested columns, so nothing is scanned twice and
-    each branch reads only the fields it needs.
+    Two branches read different nested columns, so nothing is scanned twice, and
+    each reads only the fields of a person, not those of the credit.
     """
-    roles = [explode_child(documents, CHILDREN[t]).select(*names(PERSON_FIELDS)) for t in ("movie_cast", "movie_crew")]
+    fields = names(PERSON_FIELDS)
+    roles = [explode_child(documents, CHILDREN[t], [], only=fields) for t in ("movie_cast", "movie_crew")]
     return roles[0].unionByName(roles[1]).filter(F.col("person_id").isNotNull())
 
 
@@ -80,15 +82,31 @@ def silver_table(documents: DataFrame, table: str) -> DataFrame:
     return child_table(documents, table) if table in CHILDREN else history_dim(documents, table)
 
 
+def advance_dim(previous: DataFrame, documents: DataFrame, table: str) -> DataFrame:
+    """A dimension after the documents of later days, without reading older ones again."""
+    if table == "dim_person":
+        return most_popular(previous.unionByName(people(documents)))
+    current = history_dim(documents, table)
+    return supersede(previous, current, current.columns[:1])
+
+
 def build_silver(
-    spark: SparkSession, parsed_path: str, silver_root: str, day: Day, mode: str = "append", parallel: int = 4
+    spark: SparkSession,
+    parsed_path: str,
+    silver_root: str,
+    day: Day,
+    mode: str = "append",
+    *,
+    state_root: str | None = None,
+    parallel: int = 4,
 ) -> None:
     """Write the day's rows of the 12 daily tables and the 6 dimensions anew.
 
     Every table reads its own nested columns of the parsed table, so nothing is
     cached. With ``replace_day`` the fact is read back from ``movies``, whose day
     then holds each film once; after appends it may hold several copies, so the
-    fact comes from the documents again.
+    fact comes from the documents again. Dimensions come from all days, or with
+    a ``state_root`` from their last state and the days after it.
     """
     history = read_table(spark, parsed_path, PARSED_DDL)
     today = one_day(history, day)
@@ -105,7 +123,12 @@ def build_silver(
         save(child_table(today, table), f"{silver_root}/{table}")
 
     def write_dim(table: str) -> None:
-        overwrite(silver_table(history, table), f"{silver_root}/{table}")
+        build, advance = partial(silver_table, table=table), partial(advance_dim, table=table)
+        if state_root:
+            rows = carry(spark, f"{state_root}/{table}", day, history, build, advance)
+        else:
+            rows = build(history)
+        overwrite(rows, f"{silver_root}/{table}")
 
     jobs = [write_films, *[partial(write_child, t) for t in CHILDREN], *[partial(write_dim, t) for t in HISTORY_TABLES]]
     at_once(jobs, parallel)
