@@ -88,7 +88,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("movie_id"),
         F.col("props").alias("raw_json"),
-        F.format_string("events/%d", "event_id").alias("source_file"),
+        F.concat(F.lit("events/"), "event_id").alias("source_file"),
         day("ts").alias("snapshot_date"),
         "event_type",
     )

@@ -59,7 +59,7 @@ def anomalous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     return table(spark, sf_dir, "events").select(
         F.expr(text).alias("raw_json"),
-        F.format_string("/raw/event_id=%d.json", "event_id").alias("source_file"),
+        F.concat(F.lit("/raw/event_id="), "event_id", F.lit(".json")).alias("source_file"),
         day("ts").alias("snapshot_date"),
     )
 
@@ -277,7 +277,7 @@ def write_supplier_files(spark: SparkSession, sf_dir: str) -> str:
     supplier_lines(spark, sf_dir).select(
         document.alias("value"),
         "snapshot_date",
-        F.format_string("%d.json", "l_orderkey").alias("movie_id"),
+        F.concat("l_orderkey", F.lit(".json")).alias("movie_id"),
     ).write.partitionBy("snapshot_date", "movie_id").text(root)
     return root
 

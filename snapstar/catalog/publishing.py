@@ -12,12 +12,11 @@ from snapstar.catalog.base import query
 from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, day, raw_films, table
 from snapstar.catalog.silver import MART_SQL, SILVER_SQL, STAGING_SQL
 from snapstar.operators.quality import check_report, declared_checks, duplicate_keys, null_rows
-from snapstar.plans.daily import MARTS, run_after_landing, run_checks
+from snapstar.plans.daily import read_marts, run_after_landing, run_checks
 from snapstar.schemas import HISTORY_TABLES, SILVER_TABLES
 from snapstar.session import scratch
 from snapstar.sinks.publish import publish
 from snapstar.sinks.write import append_days, balanced
-from snapstar.sources.tables import read_table
 
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
 
@@ -130,7 +129,7 @@ def two_day_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run in (FIRST_DAY, SECOND_DAY):
         run_after_landing(spark, root, database, run)
     tables = {f"silver {t}" if t in HISTORY_TABLES else t: spark.table(f"{database}.{t}") for t in SILVER_TABLES}
-    tables |= {name: read_table(spark, f"{root}/marts/{name}") for name in MARTS}
+    tables |= read_marts(spark, f"{root}/marts")
     counts = [rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, rows in tables.items()]
     checks = run_checks(spark, database, f"{root}/marts").select(
         F.concat("model", F.lit("."), "column", F.lit(" "), "test").alias("name"), F.col("violations").alias("n")

@@ -114,9 +114,18 @@ def day(column: str) -> Column:
     return F.col(column).cast("date")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over all cores where their files give fewer tasks than that; else as they are.
+
+    One small file is one task, and a line grows into a document of 2 KB.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
-    return rows.withColumn("source_file", F.format_string("snapshot/%d", "l_orderkey")).withColumn(
+    rows = spread(table(spark, sf_dir, "lineitem")).withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+    return rows.withColumn("source_file", F.concat(F.lit("snapshot/"), "l_orderkey")).withColumn(
         "snapshot_date", F.expr(DAY_OF_STATUS)
     )
 

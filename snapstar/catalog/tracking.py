@@ -30,7 +30,7 @@ def write_pages(spark: SparkSession, sf_dir: str, window: str | None = None) ->
         page,
         F.lit(SECOND_DAY if window else None).alias("snapshot_date") if window else F.col("snapshot_date"),
         F.lit(window).alias("window"),
-        F.format_string("%d.json", "l_orderkey").alias("page"),
+        F.concat("l_orderkey", F.lit(".json")).alias("page"),
     ).select("value", *folders).write.partitionBy(*folders).text(root)
     return root
 
@@ -122,7 +122,7 @@ def id_array_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A state kept as a JSON array with one id per line."""
     path = scratch(spark, "array")
     customers = table(spark, sf_dir, "customer")
-    customers.select(F.format_string("  %d,", "c_custkey").alias("value")).write.text(path)
+    customers.select(F.concat(F.lit("  "), "c_custkey", F.lit(",")).alias("value")).write.text(path)
     return read_id_array(spark, path)
 
 

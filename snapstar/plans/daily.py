@@ -11,14 +11,16 @@ from snapstar.operators.quality import check_report
 from snapstar.plans.carry import carry
 from snapstar.plans.examples import first_example, second_example
 from snapstar.plans.landing import land_files
-from snapstar.plans.marts import ADVANCE, BRIDGES, DIMENSIONS, advance_fact, build_staging
+from snapstar.plans.marts import ADVANCE, BRIDGES, DIMENSIONS, FACT_DDL, advance_fact, build_staging
 from snapstar.plans.parse import parse_landed
-from snapstar.plans.silver import build_silver
+from snapstar.plans.silver import build_silver, read_silver
 from snapstar.schemas import RAW_DDL, SILVER_TABLES
 from snapstar.sinks.publish import publish
 from snapstar.sinks.write import at_once, overwrite
 from snapstar.sources.tables import one_day, read_table, source_tables
 
+FACT = "fct_movie_daily_snapshot"
+
 
 def build_marts(
     spark: SparkSession,
@@ -46,12 +48,14 @@ def build_marts(
 
     def write_fact() -> None:
         rows = views["stg_fact_movie_daily_snapshot"]
-        advance_fact(spark, rows, f"{marts}/fct_movie_daily_snapshot", full_refresh=full_refresh)
+        advance_fact(spark, rows, f"{marts}/{FACT}", full_refresh=full_refresh)
 
     at_once([*[partial(write, name) for name in (*DIMENSIONS, *BRIDGES)], write_fact])
 
 
-MARTS = [*DIMENSIONS, *BRIDGES, "fct_movie_daily_snapshot"]
+def read_marts(spark: SparkSession, marts: str) -> dict[str, DataFrame]:
+    tables = {name: read_table(spark, f"{marts}/{name}") for name in (*DIMENSIONS, *BRIDGES)}
+    return tables | {FACT: read_table(spark, f"{marts}/{FACT}", FACT_DDL)}
 
 
 def run_after_landing(
@@ -62,7 +66,7 @@ def run_after_landing(
     landed = one_day(read_table(spark, f"{root}/raw", RAW_DDL), day)
     parse_landed(landed, f"{root}/parsed", mode)
     build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode, state_root=f"{root}/state")
-    tables = {name: f"{root}/silver/{name}" for name in SILVER_TABLES}
+    tables = {name: read_silver(spark, f"{root}/silver", name) for name in SILVER_TABLES}
     audit = publish(spark, tables, database, f"{root}/warehouse", day=day)
     published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
     build_marts(spark, published, f"{root}/marts", day=day, state_root=f"{root}/state/marts")
@@ -86,6 +90,6 @@ def run_checks(spark: SparkSession, database: str, marts: str) -> DataFrame:
     """The declared checks on the staging views, the marts and the two examples."""
     published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
     models = build_staging(source_tables(published))
-    models |= {name: read_table(spark, f"{marts}/{name}") for name in MARTS}
+    models |= read_marts(spark, marts)
     first = first_example(spark)
     return check_report(models | {"first_example": first, "second_example": second_example(first)})

@@ -82,6 +82,12 @@ def silver_table(documents: DataFrame, table: str) -> DataFrame:
     return child_table(documents, table) if table in CHILDREN else history_dim(documents, table)
 
 
+def read_silver(spark: SparkSession, silver_root: str, table: str) -> DataFrame:
+    """A silver table by its known schema, which files cannot tell while there are none."""
+    schema = silver_table(spark.createDataFrame([], PARSED_DDL), table).schema
+    return spark.read.schema(schema).parquet(f"{silver_root}/{table}")
+
+
 def advance_dim(previous: DataFrame, documents: DataFrame, table: str) -> DataFrame:
     """A dimension after the documents of later days, without reading older ones again."""
     if table == "dim_person":
@@ -116,7 +122,7 @@ def build_silver(
         save(movies(today), f"{silver_root}/movies")
         films = movies(today)
         if mode == "replace_day":
-            films = one_day(read_table(spark, f"{silver_root}/movies"), day)
+            films = one_day(read_silver(spark, silver_root, "movies"), day)
         save(daily_fact(films), f"{silver_root}/fact_movie_daily_snapshot")
 
     def write_child(table: str) -> None:
