@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snapstar.functions.columns import Day, safe_date
 from snapstar.operators.explode import explode_child
@@ -82,10 +83,14 @@ def silver_table(documents: DataFrame, table: str) -> DataFrame:
     return child_table(documents, table) if table in CHILDREN else history_dim(documents, table)
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read_silver(spark: SparkSession, silver_root: str, table: str) -> DataFrame:
     """A silver table by its known schema, which files cannot tell while there are none."""
-    schema = silver_table(spark.createDataFrame([], PARSED_DDL), table).schema
-    return spark.read.schema(schema).parquet(f"{silver_root}/{table}")
+    if table not in _schemas:
+        _schemas[table] = silver_table(spark.createDataFrame([], PARSED_DDL), table).schema
+    return spark.read.schema(_schemas[table]).parquet(f"{silver_root}/{table}")
 
 
 def advance_dim(previous: DataFrame, documents: DataFrame, table: str) -> DataFrame:

@@ -6,6 +6,7 @@ import json
 import pytest
 from conftest import rows_of
 
+from snapstar.__main__ import arguments, run
 from snapstar.operators.quality import check_report, declared_checks, duplicate_keys, null_rows
 from snapstar.plans.daily import read_marts, run_checks, run_day
 from snapstar.plans.examples import first_example, second_example
@@ -156,3 +157,15 @@ def test_scratch_is_under_the_shared_folder(spark):
     assert path != scratch(spark, "x")
     if shared:
         assert path.startswith(shared)
+
+
+def test_command_line(spark, tmp_path):
+    write_json(tmp_path / "files" / "snapshot_date=2026-04-08" / "movie_id=1.json", film(1, "one", [1], 7))
+    files, parsed, silver = f"{tmp_path}/files", f"{tmp_path}/parsed", f"{tmp_path}/silver"
+    day = ["--date", "2026-04-08"]
+    run(spark, arguments(["parse", "--files", files, "--parsed", parsed, *day]))
+    run(spark, arguments(["silver", "--parsed", parsed, "--silver", silver, *day]))
+    run(spark, arguments(["land", "--files", files, "--raw", f"{tmp_path}/raw", *day]))
+    assert spark.read.parquet(f"{silver}/movie_genres").first().genre_id == 7
+    assert spark.read.parquet(f"{tmp_path}/raw").count() == 1
+    assert arguments(["checks", "--root", "r", "--database", "d"]).date == str(dt.date.today())
