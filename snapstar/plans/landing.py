@@ -12,33 +12,38 @@ from snapstar.plans.marts import merge_days
 from snapstar.schemas import DOCUMENT_KEYS, RAW_DDL
 from snapstar.sinks.write import append_days, balanced
 from snapstar.sources.raw import read_raw_files
-from snapstar.sources.tables import read_or_empty
+from snapstar.sources.tables import one_day, read_or_empty
 
 
-def absent_documents(spark: SparkSession, incoming: DataFrame, landed_path: str) -> DataFrame:
-    """Incoming documents that were not landed yet, one per film and day."""
+def absent_documents(spark: SparkSession, incoming: DataFrame, landed_path: str, day: Day = None) -> DataFrame:
+    """Incoming documents that were not landed yet, one per film and day.
+
+    Only the landed days that arrive again are looked at; when all documents are
+    of one ``day``, they need not be read for that.
+    """
     landed = read_or_empty(spark, landed_path, RAW_DDL)
-    return insert_absent(rows_of_same_days(landed, incoming), incoming, DOCUMENT_KEYS)
+    same_days = rows_of_same_days(landed, incoming) if day is None else one_day(landed, day)
+    return insert_absent(same_days, incoming, DOCUMENT_KEYS)
 
 
 def land(
-    spark: SparkSession, incoming: DataFrame, landed_path: str, *, replace: bool = False, one_day: bool = False
+    spark: SparkSession, incoming: DataFrame, landed_path: str, *, replace: bool = False, day: Day = None
 ) -> None:
     """Land documents; a document that is there stays, or with ``replace`` is replaced.
 
     Documents of many days are shuffled once more, so that each day gets few
-    files. Those of ``one_day`` are written as the join left them.
+    files. Those of one ``day`` are written as the join left them.
     """
     if replace:
         merge_days(spark, incoming, landed_path, RAW_DDL)
         return
-    absent = absent_documents(spark, incoming, landed_path)
-    append_days(absent if one_day else balanced(absent), landed_path)
+    absent = absent_documents(spark, incoming, landed_path, day)
+    append_days(balanced(absent) if day is None else absent, landed_path)
 
 
 def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *, replace: bool = False) -> None:
     """Land one day's files in the raw table, whose few large files replace the many small ones."""
-    land(spark, read_raw_files(spark, raw_root, day), landed_path, replace=replace, one_day=day is not None)
+    land(spark, read_raw_files(spark, raw_root, day), landed_path, replace=replace, day=day)
 
 
 def landed_count(spark: SparkSession, landed_path: str) -> DataFrame:
