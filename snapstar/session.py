@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Correctness never depends on these; they keep partitions even at any size.
 SETTINGS = {
@@ -16,8 +15,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_local_scratch: list[str] = []
-
 
 def get_spark(app: str = "snapstar", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -29,17 +26,17 @@ def get_spark(app: str = "snapstar", master: str | None = None, **extra: str) ->
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table.
+    """A fresh path for an intermediate table, in a folder that the driver and all executors share.
 
-    It lies under the folder that the cluster shares (``spark.checkpoint.dir``).
-    Only a local session without that setting gets a temporary folder, since
-    there the driver and the tasks are one process.
+    That is ``spark.checkpoint.dir``, or the warehouse where it is unset; the
+    same in every mode.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if not _local_scratch:
-            _local_scratch.append(tempfile.mkdtemp(prefix="snapstar-"))
-        root = _local_scratch[0]
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """The rows, written to a fresh shared path and read again, so that their lineage ends there."""
+    path = scratch(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as entry  # noqa: E402
+from snapstar import catalog  # noqa: E402
 from conftest import DATA, plan_of  # noqa: E402
 
 TABLES = """
@@ -26,7 +27,7 @@ def text(value):
     return "nan" if isinstance(value, float) and math.isnan(value) else repr(value)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, DATA)
     columns = sorted(df.columns)
@@ -43,7 +44,7 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
 def test_entry(spark):
