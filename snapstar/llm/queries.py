@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.llm import fingerprints, language, licenses, mixing, packing, simhash, token_counts
+from snapstar.llm import fingerprints, language, licenses, mixing, outliers, packing, pii, simhash, suffixes, token_counts
 from snapstar.llm.common import documents
 
 
@@ -34,12 +34,35 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(documents(spark, sf_dir))
 
 
+def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.digest(documents(spark, sf_dir))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(documents(spark, sf_dir))
+
+
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(spark, documents(spark, sf_dir))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_simhash, op3_language, op4_licenses, op5_packing, op6_mixing, op10_token_counts)
+    for f in (
+        op1_fingerprints,
+        op2_simhash,
+        op3_language,
+        op4_licenses,
+        op5_packing,
+        op6_mixing,
+        op7_outliers,
+        op8_pii,
+        op9_suffixes,
+        op10_token_counts,
+    )
 }
 ORACLES = {"op6_mixing": mixing.SQL}
