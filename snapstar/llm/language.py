@@ -118,21 +118,21 @@ def _chance(margin: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """A model of the labelled rows of ``docs``, from a bounded sample: ``sample`` rows in all, by a hash of the id.
+    """A model of the labelled rows of ``docs``, from a bounded sample: ``sample`` rows in all, chosen by a hash.
 
     Null labels and null texts don't count; without any labelled row the model knows no language.
     """
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    kinds = [r[0] for r in labelled.select(lang).distinct().limit(sample).collect()]
-    if not kinds:
+    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(sample).collect()
+    if not counts:
         return Model(np.zeros((0, SIZE), np.float32), [])
-    each = max(1, sample // len(kinds))
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(id), id)
-    ids = labelled.select(id, lang).withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= each)
-    ids = F.broadcast(ids.select(F.col(id).alias("_id")).distinct())  # no more than the sample
-    rows = labelled.join(ids, F.col(id).eqNullSafe(F.col("_id")), "left_semi").select(id, text, lang)
-    one = F.row_number().over(Window.partitionBy(id, lang).orderBy(F.xxhash64(text)))
-    rows = rows.withColumn("_row", one).filter("_row = 1").select(lang, text)
+    each = max(1, sample // len(counts))
+    mark = F.xxhash64(id, text)
+    # About four times the rows that are wanted go on to be ranked, however many there are.
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(1.0, 4 * each / r[1]))])
+    some = labelled.filter(F.pmod(mark, F.lit(1 << 30)) <= F.element_at(share, F.col(lang)) * float(1 << 30))
+    ranked = some.withColumn("_row", F.row_number().over(Window.partitionBy(lang).orderBy(mark, id)))
+    rows = ranked.filter(F.col("_row") <= each).select(lang, text)
 
     def values(batch: pa.RecordBatch) -> list[pa.Array]:
         parts = (features(batch.column(1).slice(i, 256)) for i in range(0, len(batch), 256))

@@ -20,7 +20,7 @@ from snapstar.session import stored
 CAPACITY = 2048
 END = 0
 #: Bytes of words and ids that a task remembers.
-MEMORY = 20 << 20
+MEMORY = 12 << 20
 #: Rows of a hot length are numbered in so many parts.
 SPREAD = 128
 
@@ -54,12 +54,15 @@ class Words(dict):
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _model(self, word: str) -> list[int]:
-        text = word.lower() if word.isascii() else self.normalizer.normalize_str(word).encode().decode("latin-1").translate(self.names)
-        return [t.id for t in self.model.tokenize(text)]
+        """The ids of a word that is all letters, after normalisation too; else those of the full way."""
+        text = word.lower() if word.isascii() else self.normalizer.normalize_str(word)
+        if not text.isalpha():
+            return self._full(word)
+        return [t.id for t in self.model.tokenize(text if word.isascii() else text.encode().decode("latin-1").translate(self.names))]
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        ids = self._model(text) if self.short and text.isalpha() and text.isprintable() else self._full(text)
+        ids = self._model(text) if self.short else self._full(text)
         found = array("I", ids).tobytes()
         if self.held < MEMORY:
             self[word] = found

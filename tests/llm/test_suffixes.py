@@ -1,0 +1,85 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from corpus import docs, empty, key, rows  # noqa: F401
+
+from snapstar.llm import suffixes
+
+
+def plain(given):
+    """By a table of all strings of 50 bytes."""
+    least = {}
+    given = [(LAST if i is None else i, (t or "").encode()) for i, t in given]
+    for i, t in given:
+        for a in range(len(t) - 49):
+            w = t[a : a + 50]
+            least[w] = min(least.get(w, i), i)
+    out = []
+    for i, t in given:
+        gone = np.zeros(len(t), bool)
+        for a in range(len(t) - 49):
+            if least[t[a : a + 50]] < i:
+                gone[a : a + 50] = True
+        runs = int((np.diff(np.concatenate([[0], gone.view(np.int8)])) == 1).sum())
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        out.append((None if i == LAST else i, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=lambda r: [key(x) for x in r])
+
+
+LAST = int(suffixes.LAST)
+
+
+def found_in(frame, **options):
+    rows = [tuple(r)[:5] for r in suffixes.repeats(frame, **options).collect()]
+    return sorted(rows, key=lambda r: [key(x) for x in r])
+
+
+def test_cover_is_a_difference_set():
+    differences = {(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER}
+    assert differences == set(range(suffixes.PERIOD))
+
+
+def test_pack():
+    for size in (0, 1, 1000):
+        values = np.sort(np.random.default_rng(size).integers(0, 2**64, size, np.uint64))
+        assert np.array_equal(suffixes.unpack(suffixes.pack(values)), values)
+
+
+def made(seed, n=70):
+    rand = random.Random(seed)
+    passages = ["".join(rand.choices("abcde é", k=rand.choice([49, 50, 51, 80, 300]))) for _ in range(6)]
+    out = []
+    for i in range(n):
+        parts = [rand.choice([rand.choice(passages), "".join(rand.choices("abc ", k=rand.randint(0, 90))), "a" * 70]) for _ in range(4)]
+        out.append((rand.choice([i, i * 1000, None]) if i % 9 == 0 else i, "".join(parts)))
+    return out + out[:3] + [(500, out[5][1]), (-7, out[6][1]), (None, "b" * 60), (None, "b" * 60 + "c")]
+
+
+@pytest.mark.parametrize(("seed", "chunk"), [(1, 500), (2, 4000), (3, 1 << 20)])
+def test_against_all_strings(spark, seed, chunk, monkeypatch):
+    monkeypatch.setattr(suffixes, "BUCKET", 64)
+    monkeypatch.setattr(suffixes, "KNOTS", 5)
+    given = made(seed)
+    frame = spark.createDataFrame(given, "doc_id long, text string").repartition(4)
+    assert found_in(frame, chunk=chunk) == plain(given)
+
+
+def test_table(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    given = [(r.doc_id, r.text) for r in table.collect()]
+    assert found_in(table, chunk=60_000) == plain(given)
+
+
+def test_hard_rows(docs, empty):  # noqa: F811
+    assert found_in(docs, chunk=20_000) == plain([(r[0], r[1]) for r in rows()])
+    assert suffixes.repeats(empty).count() == 0
+    assert suffixes.repeats(docs).schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+
+
+def test_spans_are_what_is_removed(spark):
+    shared = "".join(random.Random(0).choices("xyz ", k=120))
+    frame = spark.createDataFrame([(1, "aa" + shared), (2, "bbb" + shared + "cc" + shared)], "doc_id int, text string")
+    found = {r.doc_id: r.spans for r in suffixes.repeats(frame).collect()}
+    assert found == {1: [], 2: [3, 123, 125, 245]}
