@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,6 +55,12 @@ def field(name: str, kind: DataType) -> StructField:
     return StructField(name, kind, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go now. Spark deletes them as the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and the offsets of each; a null text is empty."""
     texts = pc.fill_null(texts, pa.scalar("", texts.type)).cast(pa.large_binary())

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstar.llm.common import kind_of, partitions, raw
+from snapstar.llm.common import kind_of, partitions, raw, released
 from snapstar.session import stored
 
 WINDOW = 50
@@ -44,7 +44,7 @@ PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 CHUNK, BUCKET = 8 << 20, 1 << 20
 KNOTS = 256
 MESSAGE = "chunk long, kind int, bucket long, data binary"
-TEXT, TIED, EARLIER = 0, 1, 2
+TEXT, COPY, TIED, EARLIER = 0, 1, 2, 3
 LAST = np.iinfo(np.int64).max
 
 
@@ -102,9 +102,14 @@ def unpack(data: bytes) -> np.ndarray:
 class Chunk:
     """The documents of a chunk, by id: their bytes in one array, and where each starts."""
 
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, data: np.ndarray):
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, data: np.ndarray, copies: set[tuple[int, int]] = frozenset()):
+        """``copies``, (id, mark) of a text, are left out."""
         order = np.argsort(ids, kind="stable")
         ends = np.cumsum(lengths)
+        if copies:
+            some = np.isin(ids[order], np.array([i for i, _ in copies], np.int64))
+            known = [i for i in order[some].tolist() if (int(ids[i]), _mark(data[ends[i] - lengths[i] : ends[i]].tobytes())) in copies]
+            order = order[~np.isin(order, np.array(known, np.int64))]
         self.ids, self.lengths = ids[order], lengths[order]
         parts = [data[ends[i] - lengths[i] : ends[i]] for i in order]
         self.data = np.concatenate([*parts, np.zeros(WINDOW, np.uint8)])
@@ -258,6 +263,24 @@ def _rank(plan: Layout) -> Callable:
     return rows
 
 
+def _copies(plan: Layout) -> Callable:
+    """Copies to messages: their ids and the start of their hashes, by chunk."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks = _ids(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            chunk = plan.chunk(ids)
+            own = [(c, np.flatnonzero(chunk == c)) for c in np.unique(chunk).tolist()]
+            yield _messages([(c, COPY, 0, np.concatenate([ids[k], marks[k]]).astype("<i8").tobytes()) for c, k in own])
+
+    return rows
+
+
+def _mark(text: bytes) -> int:
+    """The first 60 bits of a text's hash, as the marks of copies have them."""
+    return int(hashlib.sha256(text).hexdigest()[:15], 16)
+
+
 def _texts(plan: Layout) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,7 +295,7 @@ def _texts(plan: Layout) -> Callable:
 
 def _read(held: list[tuple[int, int, int, bytes]], plan: Layout) -> tuple[Chunk, Suffixes, list[tuple[int, int, int, bytes]]]:
     """A chunk's documents, its suffixes that can tie, and the messages about these."""
-    ids, lengths, data, tied, rest = [], [], [], [np.zeros(0, np.uint64)], []
+    ids, lengths, data, tied, copies, rest = [], [], [], [np.zeros(0, np.uint64)], set(), []
     for message in held:
         if message[1] == TEXT:
             whole = zstandard.decompress(message[3])
@@ -281,11 +304,15 @@ def _read(held: list[tuple[int, int, int, bytes]], plan: Layout) -> tuple[Chunk,
             ids.append(numbers[:n])
             lengths.append(numbers[n:])
             data.append(np.frombuffer(whole, np.uint8, offset=8 + 16 * n))
+        elif message[1] == COPY:
+            both = np.frombuffer(message[3], "<i8").reshape(2, -1)
+            copies.update(zip(both[0].tolist(), both[1].tolist(), strict=True))
         elif message[1] == TIED:
             tied.append(unpack(message[3]))
         else:
             rest.append(message)
-    chunk = Chunk(*(np.concatenate(x) for x in (ids, lengths, data)))
+    none = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    chunk = Chunk(*(np.concatenate(a + b) for a, b in zip(none, (ids, lengths, data), strict=True)), copies)
     return chunk, chunk.suffixes(plan.sample_bits, np.concatenate(tied)), rest
 
 
@@ -339,7 +366,7 @@ def _cut(plan: Layout) -> Callable:
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
                 kept = chunk.data[a:b] if not len(edge) else chunk.data[a:b][~own]
                 out.append((None if id == LAST else id, b - a, int(own.sum()), len(edge) // 2, hashlib.sha256(kept.tobytes()).hexdigest(), edge))
-            id, n, removed, spans, sha, edges = zip(*out, strict=True)
+            id, n, removed, spans, sha, edges = zip(*out, strict=True) if out else ((),) * 6
             arrays = [pa.array(v, pa.int64()) for v in (id, n, removed, spans)]
             arrays += [pa.array(sha, pa.string()), pa.array(edges, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
@@ -361,21 +388,24 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", chunk: int
     is given; other columns are left out; an empty table gives no rows.
 
     Exact copies are settled by their hash: all but those with the least id are
-    removed whole, and take no part in the sorting.
+    removed whole, and take no part in the sorting. What a step needs of the one
+    before it is written to the shared folder.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     marks = stored(rows.select("id", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha")), "suffix-marks")
     least = marks.groupBy("sha").agg(F.min("id").alias("least"), F.count("*").alias("_n")).filter("_n > 1")
     copies = marks.join(least, "sha").filter("id > least or (id is null and least is not null)").select("id", "n", "sha")
     copies = stored(copies, "suffix-copies")
-    again = copies.select(F.col("id").alias("_id"), F.col("sha").alias("_sha")).distinct()
-    own = rows.join(again, rows["id"].eqNullSafe(again["_id"]) & (F.sha2(rows["text"], 256) == again["_sha"]), "left_anti")
+    again = copies.select("id", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("mark"))
     plan = layout(rows, "id", "text", chunk)
-    tied = stored(_dealt(own.mapInArrow(_sample(plan), MESSAGE), "bucket").mapInArrow(_rank(plan), MESSAGE), "suffix-ties")
-    texts = own.mapInArrow(_texts(plan), MESSAGE)
-    windows = _dealt(texts.unionByName(tied), "chunk").mapInArrow(_windows(plan), MESSAGE)
-    earlier = _dealt(windows, "bucket").mapInArrow(_least(plan), MESSAGE)
-    found = _dealt(texts.unionByName(tied).unionByName(earlier), "chunk").mapInArrow(_cut(plan), RESULT)
+    tied = stored(_dealt(rows.mapInArrow(_sample(plan), MESSAGE), "bucket").mapInArrow(_rank(plan), MESSAGE), "suffix-ties")
+    released(spark)
+    texts = rows.mapInArrow(_texts(plan), MESSAGE).unionByName(again.mapInArrow(_copies(plan), MESSAGE)).unionByName(tied)
+    windows = _dealt(texts, "chunk").mapInArrow(_windows(plan), MESSAGE)
+    earlier = stored(_dealt(windows, "bucket").mapInArrow(_least(plan), MESSAGE), "suffix-earlier")
+    released(spark)
+    found = _dealt(texts.unionByName(earlier), "chunk").mapInArrow(_cut(plan), RESULT)
     all_of_it = F.col("n") >= WINDOW
     whole = copies.select(
         "id",
