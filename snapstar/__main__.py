@@ -10,7 +10,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from snapstar.functions.columns import run_date
-from snapstar.plans.daily import run_checks, run_day
+from snapstar.plans.daily import run_checks, run_day, run_marts, run_publish
 from snapstar.plans.landing import land_files
 from snapstar.plans.parse import parse_raw
 from snapstar.plans.silver import build_silver
@@ -39,6 +39,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     universe.add_argument("--last", help="last release day of a backfill")
     universe.add_argument("--raw", help="the raw table, to count what was landed")
     job("checks", "run the declared checks", "root", "database")
+    job("publish", "publish a day of the silver tables", "root", "database")
+    marts = job("marts", "model the published tables", "root", "database")
+    for command in (day, marts):
+        command.add_argument("--full-refresh", action="store_true", help="make the fact anew from all days")
     for command in (day, parse, silver):
         command.add_argument("--mode", choices=["append", "replace_day"], default="replace_day")
     return parser.parse_args(argv)
@@ -47,13 +51,20 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     """Run the job; some return a report."""
     if args.job == "day":
-        return run_day(spark, args.files, args.root, args.database, args.date, mode=args.mode)
+        return run_day(
+            spark, args.files, args.root, args.database, args.date, mode=args.mode, full_refresh=args.full_refresh
+        )
     if args.job == "parse":
         parse_raw(spark, args.files, args.parsed, args.date, args.mode)
     elif args.job == "silver":
         build_silver(spark, args.parsed, args.silver, args.date, args.mode)
     elif args.job == "land":
-        land_files(spark, args.files, args.raw, args.date, replace=args.replace)
+        landed = land_files(spark, args.files, args.raw, args.date, replace=args.replace)
+        return spark.createDataFrame([(args.date, landed)], "snapshot_date string, landed bigint")
+    elif args.job == "publish":
+        return run_publish(spark, args.root, args.database, args.date)
+    elif args.job == "marts":
+        run_marts(spark, args.root, args.database, args.date, full_refresh=args.full_refresh)
     elif args.job == "universe":
         window = (args.first, args.last) if args.first and args.last else None
         return update_universe(spark, args.pages, args.state, args.date, window=window, landed_path=args.raw)

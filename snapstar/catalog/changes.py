@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.catalog.base import query, register
-from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, day, films, table
+from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, day, films, table, write_files
 from snapstar.catalog.silver import MART_SQL, SILVER_SQL, staged_rows
 from snapstar.operators.incremental import newer_rows
-from snapstar.operators.keyed import insert_absent, upsert
+from snapstar.operators.keyed import dimension, insert_absent, last_seen, supersede, upsert
 from snapstar.plans import marts, silver
 from snapstar.plans.carry import carry
-from snapstar.plans.landing import land
+from snapstar.plans.landing import land, land_files
 from snapstar.plans.marts import FACT_DDL, advance_fact, merge_days
-from snapstar.schemas import FACT_FIELDS, HISTORY_TABLES, RAW_DDL
+from snapstar.schemas import HISTORY_TABLES, RAW_DDL
 from snapstar.session import scratch
-from snapstar.sinks.write import append_days, balanced, overwrite, replace_days
+from snapstar.sinks.write import append_days, balanced, overwrite, replace_day, replace_days
 from snapstar.sources.tables import one_day, read_table
 
 EVENTS = "select event_id, user_id, cast(ts as date) as snapshot_date from events"
@@ -119,6 +119,29 @@ def overwrite_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_twice(spark, sf_dir, replace=True)
 
 
+@query(
+    "land_odd_paths",
+    f"""
+select case when c_custkey % 3 > 0 then c_custkey end as movie_id, '{{"id": ' || c_custkey || '}}' as raw_json,
+    date '{FIRST_DAY}' as snapshot_date
+from customer
+""",
+)
+def land_odd_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose names have numbers or other ids, landed twice: nothing is lost or doubled."""
+    id = F.concat(F.when(F.col("c_custkey") % 3 == 0, "x").otherwise(""), "c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit('{"id": '), "c_custkey", F.lit("}")).alias("value"),
+        F.lit(f"snapshot_date={FIRST_DAY}").alias("folder"),
+        F.concat(F.lit("movie_id="), id, F.lit(".json")).alias("name"),
+    )
+    files, path = write_files(rows, scratch(spark, "files")), scratch(spark, "landed")
+    for _ in range(2):
+        land_files(spark, files, path, FIRST_DAY)
+    text = F.regexp_replace("raw_json", "\n$", "").alias("raw_json")
+    return read_table(spark, path, RAW_DDL).select("movie_id", text, "snapshot_date")
+
+
 # --- the fact ----------------------------------------------------------------------
 FACT = SILVER_SQL["fact_movie_daily_snapshot"]
 
@@ -174,7 +197,8 @@ def fct_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 select movie_id, snapshot_date, popularity * case when snapshot_date = date '{FIRST_DAY}' and status = 'F' then 2 else 1 end
     as popularity, vote_average, vote_count, revenue, runtime, status from ({FACT}) f
-union all select -1 - movie_id, snapshot_date, {FACT_FIELDS} from ({FACT}) f where snapshot_date = date '{FIRST_DAY}'
+union all select -1 - movie_id, snapshot_date, popularity, vote_average, vote_count, revenue, runtime, status
+from ({FACT}) f where snapshot_date = date '{FIRST_DAY}'
 """,
 )
 def merge_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,27 +253,71 @@ def late_day_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carry(spark, path, FIRST_DAY, staged, *steps)
 
 
-# --- reruns ----------------------------------------------------------------------------
+def _late_day_then_rerun(spark: SparkSession, rows: DataFrame, build, advance) -> DataFrame:
+    """Days 9 and 10, the late day 8, a rerun of 10, then 11; equals a rebuild from all days."""
+    path = scratch(spark, "state")
+    days = [F.date_add(F.lit(FIRST_DAY).cast("date"), i) for i in range(4)]
+    spread = F.pmod(F.xxhash64("movie_id"), F.lit(2)).cast("int")
+    # The two given days become four, by film.
+    rows = rows.withColumn("snapshot_date", F.date_add("snapshot_date", 2 * spread))
+    stored = scratch(spark, "history")
+    overwrite(rows, stored, by="snapshot_date")
+    rows = read_table(spark, stored, rows.schema.simpleString()[7:-1])
+    seen: list[int] = []
+    for day_number in (1, 2, 0, 2, 3):
+        seen.append(day_number)
+        history = rows.filter(F.col("snapshot_date").isin([days[i] for i in seen]))
+        found = carry(spark, path, f"2026-04-{8 + day_number:02d}", history, build, advance)
+    return found
+
+
+@query("late_day_then_rerun", MART_SQL["bridge_movie_genre"])
+def late_day_then_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = staged_rows(spark, sf_dir, "stg_movie_genres")
+    return _late_day_then_rerun(spark, staged, marts.genre_bridge, marts.advance_genre_bridge)
+
+
 @query(
-    "day_rerun_append",
-    f"select snapshot_date, 2 * count(*) as n_rows from ({EVENTS}) e group by snapshot_date",
+    "late_day_then_rerun_dim",
+    f"select genre_id, genre_name from ({SILVER_SQL['dim_genre']}) d where genre_name not like 'Line %'",
 )
+def late_day_then_rerun_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a silver dimension; a flag's name never changes."""
+    child = silver.child_table(films(spark, sf_dir), "movie_genres").filter("genre_name not like 'Line %'")
+
+    def build(rows: DataFrame) -> DataFrame:
+        return dimension(rows, ["genre_id", "genre_name"])
+
+    def advance(previous: DataFrame, rows: DataFrame) -> DataFrame:
+        return supersede(previous, last_seen(rows, ["genre_id", "genre_name"]), ["genre_id"])
+
+    return _late_day_then_rerun(spark, child, build, advance)
+
+
+# --- reruns ----------------------------------------------------------------------------
+@query("day_rerun_append", f"{EVENTS} union all {EVENTS}")
 def day_rerun_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, path = daily_events(spark, sf_dir), scratch(spark, "events")
     for _ in range(2):
         append_days(balanced(events), path)
-    return read_table(spark, path).groupBy("snapshot_date").agg(F.count("*").alias("n_rows"))
+    return read_table(spark, path)
 
 
-@query(
-    "day_rerun_replace",
-    f"select snapshot_date, count(*) as n_rows from ({EVENTS}) e group by snapshot_date",
-)
+@query("day_rerun_replace", EVENTS)
 def day_rerun_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, path = daily_events(spark, sf_dir), scratch(spark, "events")
     replace_days(balanced(events), path)
     replace_days(balanced(events.filter("snapshot_date > date'2024-01-10'")), path)
-    return read_table(spark, path).groupBy("snapshot_date").agg(F.count("*").alias("n_rows"))
+    return read_table(spark, path)
+
+
+@query("rerun_emptied_day", f"select * from ({EVENTS}) e where snapshot_date <> date '2024-01-15'")
+def rerun_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rerun of a day that has no rows any more leaves none."""
+    events, path = daily_events(spark, sf_dir), scratch(spark, "events")
+    replace_days(balanced(events), path)
+    replace_day(events.filter("event_id is null"), path, "2024-01-15")
+    return read_table(spark, path)
 
 
 @query("dim_overwrite", SILVER_SQL["dim_keyword"])

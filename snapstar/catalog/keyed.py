@@ -9,7 +9,6 @@ from snapstar.catalog.base import query
 from snapstar.catalog.shapes import day, table
 from snapstar.functions.columns import all_present
 from snapstar.operators.keyed import dimension, latest_per_key, one_per_key
-from snapstar.plans.examples import literal_rows, second_example
 from snapstar.plans.marts import distinct_dim
 from snapstar.plans.silver import most_popular
 
@@ -150,14 +149,3 @@ where l_orderkey is not null and l_suppkey is not null
 def bridge_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = table(spark, sf_dir, "lineitem").select("l_orderkey", F.nullif("l_suppkey", F.lit(5)).alias("l_suppkey"))
     return pairs.filter(all_present(["l_orderkey", "l_suppkey"])).distinct()
-
-
-@query("literal_union", "select 1 as id from part union all select null from part")
-def literal_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The starter model's two literal rows, once per row of a table."""
-    return literal_rows(table(spark, sf_dir, "part"))
-
-
-@query("literal_filter", "select id from (select 1 as id from part union all select null from part) u where id = 1")
-def literal_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return second_example(literal_rows(table(spark, sf_dir, "part")))

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.catalog.base import query
-from snapstar.catalog.shapes import FIRST_DAY, day, film_columns, films, raw_films, supplier_lines, table
+from snapstar.catalog.base import query, register
+from snapstar.catalog.shapes import FIRST_DAY, customer_lines, day, film_columns, films, raw_films, table, write_files
 from snapstar.catalog.silver import CAST, DOC
 from snapstar.functions.columns import any_present, day_from_path, day_literal, parse_json, safe_date
 from snapstar.operators.explode import explode_child
 from snapstar.operators.keyed import latest_per_key
 from snapstar.plans.examples import flatten_documents, flatten_file
 from snapstar.plans.marts import cast_bridge, staging_view
-from snapstar.plans.parse import parse_documents, parse_raw, readable, rejected
+from snapstar.plans.parse import parse_documents, parse_raw, readable, rejected, some_fields
 from snapstar.plans.silver import child_table
 from snapstar.schemas import CHILDREN, PARSED_DDL, Child, Level
 from snapstar.session import scratch
@@ -25,14 +25,15 @@ from snapstar.sources.tables import one_day, read_table
 @query(
     "latest_credits",
     f"""
-select movie_id, person_id, character, cast_order, credit_id from (select distinct * from ({CAST}) r) c
+select movie_id, person_id, character, cast_order, credit_id from ({CAST}) c
 qualify row_number() over (partition by movie_id, person_id, credit_id
     order by snapshot_date desc, character nulls first, cast_order nulls first) = 1
 """,
 )
 def latest_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = readable(parse_documents(raw_films(spark, sf_dir)))
-    return cast_bridge(child_table(documents, "movie_cast"))
+    """The bridge straight from JSON: two fields are parsed, and the rank alone removes copies."""
+    documents = readable(parse_documents(raw_films(spark, sf_dir), some_fields("id", "credits.cast")))
+    return cast_bridge(explode_child(documents, CHILDREN["movie_cast"]))
 
 
 # --- parsing -------------------------------------------------------------------
@@ -270,21 +271,20 @@ def two_level_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- files ---------------------------------------------------------------------
-def write_supplier_files(spark: SparkSession, sf_dir: str) -> str:
-    """Every supplier as one pretty-printed document in a file of its own."""
-    root = scratch(spark, "files")
+def write_customer_files(spark: SparkSession, sf_dir: str) -> str:
+    """Every customer as one pretty-printed document in a file of its own."""
     document = F.to_json(F.struct(*film_columns()), {"pretty": "true"})
-    supplier_lines(spark, sf_dir).select(
+    rows = customer_lines(spark, sf_dir).select(
         document.alias("value"),
-        "snapshot_date",
-        F.concat("l_orderkey", F.lit(".json")).alias("movie_id"),
-    ).write.partitionBy("snapshot_date", "movie_id").text(root)
-    return root
+        F.concat(F.lit("snapshot_date="), F.col("snapshot_date").cast("string")).alias("folder"),
+        F.concat(F.lit("movie_id="), "l_orderkey", F.lit(".json")).alias("name"),
+    )
+    return write_files(rows, scratch(spark, "files"))
 
 
-SUPPLIER_DOC = """
-(select s_suppkey as movie_id, s_suppkey % 7 + 1 as n, s_suppkey % 3 as r,
-    case when s_nationkey < 12 then date '2026-04-08' else date '2026-04-09' end as snapshot_date from supplier) doc
+CUSTOMER_DOC = """
+(select c_custkey as movie_id, c_custkey % 7 + 1 as n, c_custkey % 3 as r,
+    case when c_nationkey < 12 then date '2026-04-08' else date '2026-04-09' end as snapshot_date from customer) doc
 """
 
 
@@ -293,11 +293,11 @@ SUPPLIER_DOC = """
     f"""
 select movie_id, snapshot_date, 'Line ' || n || ' of ' || movie_id as title,
     'snapshot_date=' || snapshot_date || '/movie_id=' || movie_id || '.json' as file
-from {SUPPLIER_DOC}
+from {CUSTOMER_DOC}
 """,
 )
 def wholetext_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = read_raw_files(spark, write_supplier_files(spark, sf_dir))
+    files = read_raw_files(spark, write_customer_files(spark, sf_dir))
     title = F.get_json_object("raw_json", "$.title").alias("title")
     file = F.regexp_extract("source_file", r"(snapshot_date=[^/]+/movie_id=[^/]+)", 1).alias("file")
     return files.select("movie_id", "snapshot_date", title, file)
@@ -305,11 +305,11 @@ def wholetext_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "parse_day_files",
-    f"select movie_id as id, snapshot_date, n as runtime from {SUPPLIER_DOC} where snapshot_date = date '{FIRST_DAY}'",
+    f"select movie_id as id, snapshot_date, n as runtime from {CUSTOMER_DOC} where snapshot_date = date '{FIRST_DAY}'",
 )
 def parse_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day's files into the parsed table, twice: replacing a day makes the rerun safe."""
-    files, parsed = write_supplier_files(spark, sf_dir), scratch(spark, "parsed")
+    files, parsed = write_customer_files(spark, sf_dir), scratch(spark, "parsed")
     for _ in range(2):
         parse_raw(spark, files, parsed, FIRST_DAY, mode="replace_day")
     return read_table(spark, parsed, PARSED_DDL).select("id", "snapshot_date", "runtime")
@@ -320,40 +320,61 @@ def parse_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 select movie_id, date '2026-04-05' as snapshot_date, genre_id, genre_name from (
     select movie_id, ascii(substr('ANR', cast(r as int) + 1, 1)) as genre_id, substr('ANR', cast(r as int) + 1, 1) as genre_name
-    from {SUPPLIER_DOC}
-    union all select movie_id, nullif(n, 1), 'Line ' || n from {SUPPLIER_DOC}
-    union all select movie_id, null, null from {SUPPLIER_DOC}
+    from {CUSTOMER_DOC}
+    union all select movie_id, nullif(n, 1), 'Line ' || n from {CUSTOMER_DOC}
+    union all select movie_id, null, null from {CUSTOMER_DOC}
 ) g
 """,
 )
 def multiline_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_supplier_files(spark, sf_dir) + "/snapshot_date=*/movie_id=*.json"
+    path = write_customer_files(spark, sf_dir) + "/snapshot_date=*/movie_id=*.json"
     return flatten_documents(read_inferred(spark, path, "2026-04-05"))["movie_genres"]
 
 
-@query(
-    "prototype_tables",
-    f"""
-select t.table_name, cast(sum(case t.table_name when 'movie_genres' then 3 when 'movie_origin_countries' then 3
-    when 'movie_crew' then 2 else 1 end) as bigint) as num_rows
-from {SUPPLIER_DOC}, (values ('movies'), ('movie_genres'), ('movie_production_companies'),
-    ('movie_production_countries'), ('movie_spoken_languages'), ('movie_origin_countries'), ('movie_cast'),
-    ('movie_crew'), ('movie_keywords'), ('movie_release_dates'), ('movie_videos')) t(table_name)
-group by t.table_name
+def _prototype_table(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, out = write_customer_files(spark, sf_dir) + "/snapshot_date=*/movie_id=*.json", scratch(spark, "flat")
+        flatten_file(spark, path, out, "2026-04-05")
+        rows = read_table(spark, f"{out}/{name}")
+        return rows.withColumn("descriptors", F.array_join("descriptors", ",")) if "descriptors" in rows.columns else rows
+
+    return run
+
+
+# The unfiltered tables appended under a root: every row of the film, of an array of each depth, and of plain strings.
+PROTOTYPES = {
+    "movies": f"""
+select movie_id, 'Line ' || n || ' of ' || movie_id as title, 'Order ' || movie_id as original_title,
+    lower(f) as original_language, 'part ' || movie_id || ' from ' || movie_id as overview,
+    case when n = 4 then '/h/' || movie_id end as homepage, 'tt' || movie_id as imdb_id,
+    case n when 1 then '' when 2 then 'x' when 3 then '2026-02-30' else '2026-04-01' end as release_date,
+    n as runtime, case when snapshot_date = date '{FIRST_DAY}' then 'F' else 'O' end as status,
+    nullif(f, 'N') as tagline, f = 'R' as adult, snapshot_date = date '{FIRST_DAY}' as video,
+    movie_id * 10 as budget, movie_id as revenue, c_acctbal as popularity, c_acctbal as vote_average,
+    movie_id as vote_count, '/p/' || movie_id as poster_path, '/b/' || movie_id as backdrop_path,
+    date '2026-04-05' as snapshot_date
+from (select *, substr('ANR', cast(r as int) + 1, 1) as f from {CUSTOMER_DOC}) d join customer on c_custkey = movie_id
 """,
-)
-def prototype_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 11 unfiltered tables appended under a root, and their row counts."""
-    path = write_supplier_files(spark, sf_dir) + "/snapshot_date=*/movie_id=*.json"
-    out = scratch(spark, "flat")
-    flatten_file(spark, path, out, "2026-04-05")
-    counts = [
-        read_table(spark, f"{out}/{name}").select(F.lit(name).alias("table_name")) for name in ("movies", *CHILDREN)
-    ]
-    rows = counts[0]
-    for count in counts[1:]:
-        rows = rows.unionByName(count)
-    return rows.groupBy("table_name").agg(F.count("*").alias("num_rows"))
+    "movie_keywords": f"""
+select movie_id, date '2026-04-05' as snapshot_date, case when n <> 7 then movie_id % 100 end as keyword_id,
+    case when n <> 7 then 'kw ' || n end as keyword_name from {CUSTOMER_DOC}
+""",
+    "movie_origin_countries": f"""
+select movie_id, date '2026-04-05' as snapshot_date, unnest([f, t, nullif(f, 'A')]) as origin_country_code
+from (select *, substr('ANR', cast(r as int) + 1, 1) as f,
+    case when snapshot_date = date '{FIRST_DAY}' then 'F' else 'O' end as t from {CUSTOMER_DOC}) d
+""",
+    "movie_release_dates": f"""
+select movie_id, date '2026-04-05' as snapshot_date, f as country_code, case when n > 2 then t end as certification,
+    case when n > 2 then lower(f) end as language_code, case when n > 2 then '' end as note,
+    case when n > 2 then '2026-04-01T00:00:00.000Z' end as release_datetime, case when n > 2 then n end as release_type,
+    case when n > 2 then f || ',' || t end as descriptors
+from (select *, substr('ANR', cast(r as int) + 1, 1) as f,
+    case when snapshot_date = date '{FIRST_DAY}' then 'F' else 'O' end as t from {CUSTOMER_DOC}) d
+""",
+}
+for _name, _sql in PROTOTYPES.items():
+    register("prototype_tables" if _name == "movies" else f"prototype_{_name}", _prototype_table(_name), _sql)
 
 
 @query(

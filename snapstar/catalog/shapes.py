@@ -8,6 +8,8 @@ documents of one film, which the dedup steps have to handle.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,17 +116,8 @@ def day(column: str) -> Column:
     return F.col(column).cast("date")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """The rows over all cores where their files give fewer tasks than that; else as they are.
-
-    One small file is one task, and a line grows into a document of 2 KB.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "lineitem")).withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
     return rows.withColumn("source_file", F.concat(F.lit("snapshot/"), "l_orderkey")).withColumn(
         "snapshot_date", F.expr(DAY_OF_STATUS)
     )
@@ -147,18 +140,38 @@ def film_columns() -> list[Column]:
     return [F.expr(sql).alias(field) for field, sql in FILM.items()]
 
 
-def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every supplier in the columns of a line, for documents that need a file each."""
-    return table(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey as l_orderkey",
-        "s_suppkey as l_partkey",
-        "s_suppkey as l_suppkey",
-        "s_suppkey % 7 + 1 as l_linenumber",
-        "s_acctbal as l_extendedprice",
-        "s_acctbal as l_quantity",
-        "s_acctbal as l_discount",
-        "substr('ANR', cast(s_suppkey % 3 + 1 as int), 1) as l_returnflag",
-        "if(s_nationkey < 12, 'F', 'O') as l_linestatus",
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer in the columns of a line, for documents that need a file each."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as l_orderkey",
+        "c_custkey as l_partkey",
+        "c_custkey as l_suppkey",
+        "c_custkey % 7 + 1 as l_linenumber",
+        "c_acctbal as l_extendedprice",
+        "c_acctbal as l_quantity",
+        "c_acctbal as l_discount",
+        "substr('ANR', cast(c_custkey % 3 + 1 as int), 1) as l_returnflag",
+        "if(c_nationkey < 12, 'F', 'O') as l_linestatus",
         "timestamp_ntz'2026-04-01 00:00:00' as l_shipdate",
-        f"if(s_nationkey < 12, date'{FIRST_DAY}', date'{SECOND_DAY}') as snapshot_date",
+        f"if(c_nationkey < 12, date'{FIRST_DAY}', date'{SECOND_DAY}') as snapshot_date",
     )
+
+
+def write_files(rows: DataFrame, root: str) -> str:
+    """Rows of (folder, name, value) as a text file each, ``root/folder/name``, the layout that crawlers leave.
+
+    Spark names its files itself: each is written into a folder of its own, and
+    then moved to its name with the file system's own call.
+    """
+    rows.write.partitionBy("folder", "name").text(f"{root}/_made")
+    spark = rows.sparkSession
+    names = spark._jvm.org.apache.hadoop.fs
+    files = names.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(names.Path(f"{root}/_made/folder=*/name=*/part-*")):
+        made = status.getPath()
+        name = unquote(made.getParent().getName().partition("=")[2])
+        folder = unquote(made.getParent().getParent().getName().partition("=")[2])
+        files.mkdirs(names.Path(f"{root}/{folder}"))
+        files.rename(made, names.Path(f"{root}/{folder}/{name}"))
+    files.delete(names.Path(f"{root}/_made"), True)
+    return root

@@ -8,19 +8,7 @@ from snapstar.catalog.base import register
 from snapstar.catalog.shapes import films
 from snapstar.operators.explode import explode_child
 from snapstar.plans import marts, silver
-from snapstar.schemas import (
-    BRIDGE_CAST_COLUMNS,
-    BRIDGE_CREW_COLUMNS,
-    BRIDGE_GENRE_COLUMNS,
-    CHILDREN,
-    DIM_MOVIE_COLUMNS,
-    FACT_FIELDS,
-    PERSON_FIELDS,
-    SILVER_TABLES,
-    STAGING,
-    STAGING_REQUIRED,
-    names,
-)
+from snapstar.schemas import CHILDREN, SILVER_TABLES, STAGING
 
 # One row per document. The columns are what the other queries are made of.
 DOC = """
@@ -106,9 +94,12 @@ qualify row_number() over (partition by {key} order by last_day desc, {ties}) =
 """
 
 
+PERSON = "person_id, person_name, original_name, gender, known_for_department, profile_path, person_popularity, adult"
+
+
 def _top_person(rows: str) -> str:
     return f"""
-select {PERSON_FIELDS} from ({rows}) r
+select {PERSON} from ({rows}) r
 qualify row_number() over (partition by person_id order by person_popularity desc nulls last,
     person_name nulls first, original_name nulls first, gender nulls first, known_for_department nulls first,
     profile_path nulls first, adult nulls first) = 1
@@ -117,7 +108,9 @@ qualify row_number() over (partition by person_id order by person_popularity des
 
 SILVER_SQL = {
     "movies": MOVIES,
-    "fact_movie_daily_snapshot": f"select {KEY}, {FACT_FIELDS} from ({MOVIES}) m",
+    "fact_movie_daily_snapshot": f"""
+select movie_id, snapshot_date, popularity, vote_average, vote_count, revenue, runtime, status from ({MOVIES}) m
+""",
     "movie_genres": f"select distinct * from ({GENRES}) r",
     "movie_production_companies": f"select distinct * from ({COMPANIES}) r",
     "movie_production_countries": f"select distinct * from ({COUNTRIES}) r",
@@ -134,44 +127,101 @@ SILVER_SQL = {
     "dim_country": _last(COUNTRIES, "country_code", ["country_name"]),
     "dim_keyword": _last(KEYWORDS, "keyword_id", ["keyword_name"]),
     "dim_person": _top_person(
-        f"select {PERSON_FIELDS} from ({CAST}) a union all select {PERSON_FIELDS} from ({CREW}) b"
+        f"select {PERSON} from ({CAST}) a union all select {PERSON} from ({CREW}) b"
     ),
 }
 
 
-def _staging_sql(view: str) -> str:
-    source, columns = STAGING[view]
-    required = STAGING_REQUIRED.get(view)
-    typed = [c.split() for c in names(columns)]
-    selected = ", ".join(f"cast({c[0]} as {c[1]}) as {c[0]}" if c[1:] else c[0] for c in typed)
-    where = f" where {required} is not null" if required else ""
-    return f"select {selected} from ({SILVER_SQL[source]}) src{where}"
-
-
-STAGING_SQL = {view: _staging_sql(view) for view in STAGING}
-
-
-def _bridge_sql(view: str, columns: str) -> str:
-    ties = ", ".join(f"{c} nulls first" for c in names(columns))
-    return f"""
-select {columns} from ({STAGING_SQL[view]}) v where movie_id is not null and person_id is not null
-qualify row_number() over (partition by movie_id, person_id, credit_id order by snapshot_date desc, {ties}) = 1
-"""
-
+# Written out in full, so that a column, cast or filter that the code loses is missing on one side only.
+STAGING_SQL = {
+    "stg_movies": f"""
+select cast(movie_id as bigint) as movie_id, cast(snapshot_date as date) as snapshot_date, title, original_title,
+    original_language, overview, homepage, imdb_id, cast(release_date as date) as release_date,
+    cast(runtime as bigint) as runtime, status, tagline, cast(adult as boolean) as adult,
+    cast(video as boolean) as video, cast(budget as bigint) as budget, cast(revenue as bigint) as revenue,
+    cast(popularity as double) as popularity, cast(vote_average as double) as vote_average,
+    cast(vote_count as bigint) as vote_count, poster_path, backdrop_path, source_file
+from ({SILVER_SQL["movies"]}) s
+""",
+    "stg_fact_movie_daily_snapshot": f"""
+select cast(movie_id as bigint) as movie_id, cast(snapshot_date as date) as snapshot_date,
+    cast(popularity as double) as popularity, cast(vote_average as double) as vote_average,
+    cast(vote_count as bigint) as vote_count, cast(revenue as bigint) as revenue, cast(runtime as bigint) as runtime,
+    status
+from ({SILVER_SQL["fact_movie_daily_snapshot"]}) s
+""",
+    "stg_movie_genres": f"""
+select cast(movie_id as bigint) as movie_id, cast(snapshot_date as date) as snapshot_date,
+    cast(genre_id as bigint) as genre_id, genre_name
+from ({SILVER_SQL["movie_genres"]}) s
+""",
+    "stg_movie_cast": f"""
+select cast(movie_id as bigint) as movie_id, cast(snapshot_date as date) as snapshot_date,
+    cast(person_id as bigint) as person_id, person_name, original_name, cast(gender as bigint) as gender,
+    known_for_department, character, cast(cast_order as bigint) as cast_order, credit_id, profile_path,
+    cast(person_popularity as double) as person_popularity, cast(adult as boolean) as adult
+from ({SILVER_SQL["movie_cast"]}) s
+""",
+    "stg_movie_crew": f"""
+select cast(movie_id as bigint) as movie_id, cast(snapshot_date as date) as snapshot_date,
+    cast(person_id as bigint) as person_id, person_name, original_name, cast(gender as bigint) as gender,
+    known_for_department, department, job, credit_id, profile_path,
+    cast(person_popularity as double) as person_popularity, cast(adult as boolean) as adult
+from ({SILVER_SQL["movie_crew"]}) s where person_id is not null
+""",
+    "stg_dim_company": f"""
+select cast(company_id as bigint) as company_id, company_name, company_origin_country, company_logo_path
+from ({SILVER_SQL["dim_company"]}) s where company_id is not null
+""",
+    "stg_dim_country": f"""
+select country_code, country_name from ({SILVER_SQL["dim_country"]}) s where country_code is not null
+""",
+    "stg_dim_genre": f"""
+select cast(genre_id as bigint) as genre_id, genre_name from ({SILVER_SQL["dim_genre"]}) s where genre_id is not null
+""",
+    "stg_dim_keyword": f"""
+select cast(keyword_id as bigint) as keyword_id, keyword_name
+from ({SILVER_SQL["dim_keyword"]}) s where keyword_id is not null
+""",
+    "stg_dim_language": f"""
+select language_code, language_english_name, language_name
+from ({SILVER_SQL["dim_language"]}) s where language_code is not null
+""",
+    "stg_dim_person": f"""
+select cast(person_id as bigint) as person_id, person_name, original_name, cast(gender as bigint) as gender,
+    known_for_department, profile_path, cast(person_popularity as double) as person_popularity,
+    cast(adult as boolean) as adult
+from ({SILVER_SQL["dim_person"]}) s where person_id is not null
+""",
+}
 
 MART_SQL = {
-    f"dim_{name}": f"select distinct * from ({STAGING_SQL[f'stg_dim_{name}']}) v"
-    for name in ("company", "country", "genre", "keyword", "language")
-} | {
+    "dim_company": f"select distinct * from ({STAGING_SQL['stg_dim_company']}) v where company_id is not null",
+    "dim_country": f"select distinct * from ({STAGING_SQL['stg_dim_country']}) v where country_code is not null",
+    "dim_genre": f"select distinct * from ({STAGING_SQL['stg_dim_genre']}) v where genre_id is not null",
+    "dim_keyword": f"select distinct * from ({STAGING_SQL['stg_dim_keyword']}) v where keyword_id is not null",
+    "dim_language": f"select distinct * from ({STAGING_SQL['stg_dim_language']}) v where language_code is not null",
     "dim_movie": f"""
-select {DIM_MOVIE_COLUMNS} from ({STAGING_SQL["stg_movies"]}) v
+select movie_id, title, original_title, original_language, overview, homepage, imdb_id, release_date, runtime,
+    status, tagline, adult, video, budget, poster_path, backdrop_path
+from ({STAGING_SQL["stg_movies"]}) v
 qualify row_number() over (partition by movie_id order by snapshot_date desc) = 1
 """,
     "dim_person": _top_person(STAGING_SQL["stg_dim_person"]),
-    "bridge_movie_cast": _bridge_sql("stg_movie_cast", BRIDGE_CAST_COLUMNS),
-    "bridge_movie_crew": _bridge_sql("stg_movie_crew", BRIDGE_CREW_COLUMNS),
+    "bridge_movie_cast": f"""
+select movie_id, person_id, character, cast_order, credit_id from ({STAGING_SQL["stg_movie_cast"]}) v
+where movie_id is not null and person_id is not null
+qualify row_number() over (partition by movie_id, person_id, credit_id
+    order by snapshot_date desc, character nulls first, cast_order nulls first) = 1
+""",
+    "bridge_movie_crew": f"""
+select movie_id, person_id, department, job, credit_id from ({STAGING_SQL["stg_movie_crew"]}) v
+where movie_id is not null and person_id is not null
+qualify row_number() over (partition by movie_id, person_id, credit_id
+    order by snapshot_date desc, department nulls first, job nulls first) = 1
+""",
     "bridge_movie_genre": f"""
-select distinct {BRIDGE_GENRE_COLUMNS} from ({STAGING_SQL["stg_movie_genres"]}) v
+select distinct movie_id, genre_id from ({STAGING_SQL["stg_movie_genres"]}) v
 where movie_id is not null and genre_id is not null
 """,
 }

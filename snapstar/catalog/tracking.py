@@ -2,53 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapstar.catalog.base import query
-from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, day, supplier_lines, table
+from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, customer_lines, day, table, write_files
 from snapstar.functions.columns import lookback
 from snapstar.plans.universe import backfill, new_ids, run_metrics, update_universe, updated_universe
 from snapstar.session import scratch
-from snapstar.sources.discovery import discovered_ids, listed, read_pages, released_between
+from snapstar.sources.discovery import discovered_ids, listed, missing_pages, read_pages, released_between
 from snapstar.sources.state import load_ids, read_id_array, save_ids
 
 
-def write_pages(spark: SparkSession, sf_dir: str, window: str | None = None) -> str:
-    """A page of two entries per supplier; every fourth film came out in January, the second entry is for adults."""
-    root = scratch(spark, "pages")
+def write_pages(spark: SparkSession, sf_dir: str, window: str | None = None, lost: int = 0) -> str:
+    """A page of two entries per customer; every fourth film came out in January, the second entry is for adults."""
     page = F.expr("""
         to_json(named_struct(
-            'page', l_orderkey, 'total_pages', l_orderkey, 'results', array(
+            'page', page, 'total_pages', total_pages, 'results', array(
                 named_struct('id', l_orderkey, 'adult', false, 'video', false, 'release_date',
                     if(l_orderkey % 4 = 0, '2026-01-01', date_format(snapshot_date, 'yyyy-MM-dd'))),
                 named_struct('id', l_orderkey + 1000000, 'adult', true, 'video', false, 'release_date',
                     date_format(snapshot_date, 'yyyy-MM-dd')))), map('pretty', 'true')) as value
     """)
-    folders = ["snapshot_date", "page"] if window is None else ["snapshot_date", "window", "page"]
-    supplier_lines(spark, sf_dir).select(
-        page,
-        F.lit(SECOND_DAY if window else None).alias("snapshot_date") if window else F.col("snapshot_date"),
-        F.lit(window).alias("window"),
-        F.concat("l_orderkey", F.lit(".json")).alias("page"),
-    ).select("value", *folders).write.partitionBy(*folders).text(root)
-    return root
+    folder = F.concat(F.lit("snapshot_date="), F.col("snapshot_date").cast("string"))
+    if window:
+        folder = F.lit(f"snapshot_date={SECOND_DAY}/window={window}")
+    rows = customer_lines(spark, sf_dir).withColumn("folder", folder)
+    own = Window.partitionBy("folder")
+    numbered = rows.withColumn("page", F.row_number().over(own.orderBy("l_orderkey")))
+    numbered = numbered.withColumn("total_pages", F.count("*").over(own)).filter(f"page <> {lost}")
+    name = F.concat(F.lit("page="), "page", F.lit(".json")).alias("name")
+    return write_files(numbered.select("folder", name, page), scratch(spark, "pages"))
 
 
 DAYS = f"""
-(select s_suppkey, s_suppkey % 4 = 0 as old,
-    case when s_nationkey < 12 then date '{FIRST_DAY}' else date '{SECOND_DAY}' end as d from supplier) s
+(select c_custkey, c_custkey % 4 = 0 as old,
+    case when c_nationkey < 12 then date '{FIRST_DAY}' else date '{SECOND_DAY}' end as d from customer) s
 """
 
 
 @query(
     "paged_discovery",
-    "select distinct s_suppkey as movie_id from supplier union select s_suppkey + 1000000 from supplier",
+    "select distinct c_custkey as movie_id from customer union select c_custkey + 1000000 from customer",
 )
 def paged_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovered_ids(listed(read_pages(spark, write_pages(spark, sf_dir))))
 
 
+@query(
+    "missing_page",
+    f"""
+select 'snapshot_date=' || d as folder, count(*) - 1 as landed, count(*) as total_pages
+from (select case when c_nationkey < 12 then date '{FIRST_DAY}' else date '{SECOND_DAY}' end as d from customer) s group by d
+""",
+)
+def missing_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings whose second page was lost."""
+    pages = missing_pages(read_pages(spark, write_pages(spark, sf_dir, lost=2)))
+    return pages.withColumn("folder", F.regexp_extract("folder", "([^/]+)$", 1))
+
+
 @query(
     "discovery_window",
     """
@@ -152,7 +165,7 @@ select count(*) filter (tracked) as existing, count(*) filter (found) as discove
 from (
     select movie_id, bool_or(tracked) as tracked, bool_or(found) as found from (
         select n_nationkey::bigint as movie_id, true as tracked, false as found from nation
-        union all select s_suppkey, false, true from {days} where not old and {which}
+        union all select c_custkey, false, true from {days} where not old and {which}
     ) u group by movie_id
 ) ids
 """

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
+from snapstar.functions.columns import all_present
 
 
 def one_per_key(
@@ -32,38 +32,33 @@ def latest_per_key(rows: DataFrame, keys: list[str], day: str = "snapshot_date")
     return one_per_key(rows, keys, [F.col(day).desc()], ties)
 
 
+def last_seen(rows: DataFrame, columns: list[str], day: str = "snapshot_date") -> DataFrame:
+    """The distinct rows, each with its last day, in a hash aggregate that combines before the shuffle."""
+    return rows.groupBy(*columns).agg(F.max(day).alias(day))
+
+
 def dimension(rows: DataFrame, columns: list[str], day: str = "snapshot_date") -> DataFrame:
     """One row per first column, with the attributes it had last.
 
-    Equal rows collapse into their last day first, in a hash aggregate that
-    combines before the shuffle; only the distinct rows are then ranked.
+    Equal rows collapse into their last day first; only the distinct rows are then ranked.
     """
-    seen = rows.groupBy(*columns).agg(F.max(day).alias("_last"))
-    return latest_per_key(seen, columns[:1], "_last").drop("_last")
+    return latest_per_key(last_seen(rows, columns, day), columns[:1], day).drop(day)
 
 
-def rows_without(rows: DataFrame, taken: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
-    """Rows whose key is not among the keys of ``taken``; null keys match nothing, as in a merge.
+def upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """The target with the rows of ``delta`` put in place of those with the same key; null keys match nothing, as in a merge.
 
-    Both sides get a salt: a row its own, a taken key all of them. A hot key of
-    ``rows`` thus spreads over ``salts`` partitions, which the adaptive skew join
-    can split further. The salt stays the same when a task is run again.
-    Spark turns this into a broadcast join where it measures the keys as small.
+    Both are ranked together, in one exchange, the delta's rows first and of them
+    one by all columns. The target's rows of a key tie, so that all stay where
+    the delta has none. A target that is merged into has each key once.
     """
-    salted = rows.withColumn("_salt", _salt(rows.columns, salts))
-    absent = taken.select(*keys).distinct().withColumn("_salt", F.explode(F.lit(list(range(salts)))))
-    return salted.join(absent, [*keys, "_salt"], "left_anti").drop("_salt")
-
-
-def _salt(columns: list[str], salts: int) -> Column:
-    """Depends on the row and its partition, so that equal copies spread too."""
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(salts)).cast("int")
-
-
-def upsert(target: DataFrame, delta: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """The target with the rows of ``delta`` put in place of those with the same key."""
-    fresh = one_per_key(delta, keys, order)
-    return rows_without(target, delta, keys).unionByName(fresh)
+    new = F.col("_new")
+    both = target.withColumn("_new", F.lit(False)).unionByName(delta.withColumn("_new", F.lit(True)))
+    others = [c for c in target.columns if c not in keys]
+    both = both.withColumn("_ties", F.when(new, F.struct(*others))).withColumn("_alone", ~all_present(keys) & new)
+    window = Window.partitionBy(*keys, "_alone").orderBy(new.desc(), "_ties")
+    ranked = both.select("*", F.rank().over(window).alias("_rank"), F.row_number().over(window).alias("_row"))
+    return ranked.filter((F.col("_rank") == 1) & (~new | (F.col("_row") == 1))).select(*target.columns)
 
 
 def insert_absent(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,14 +70,13 @@ def insert_absent(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataF
     return one_per_key(delta, keys).join(target.select(*keys).distinct(), keys, "left_anti")
 
 
-def supersede(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
-    """``current`` plus the rows of ``previous`` whose key it lacks; null equals null.
+def supersede(previous: DataFrame, later: DataFrame, keys: list[str], day: str = "snapshot_date") -> DataFrame:
+    """The last row of each key: of ``later`` days, or, for keys that these lack, of ``previous``; null equals null.
 
-    Both have each key once, so no key is hot.
+    ``previous`` has the columns of ``later`` but the day, which counts as before all others. One exchange.
     """
-    same = [F.col(f"previous.{k}").eqNullSafe(F.col(f"current.{k}")) for k in keys]
-    kept = previous.alias("previous").join(current.select(*keys).alias("current"), same, "left_anti")
-    return kept.unionByName(current)
+    before = previous.withColumn(day, F.lit("0001-01-01").cast("date"))
+    return latest_per_key(later.select(*previous.columns, day).unionByName(before), keys, day).select(*previous.columns)
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:

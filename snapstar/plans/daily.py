@@ -58,23 +58,49 @@ def read_marts(spark: SparkSession, marts: str) -> dict[str, DataFrame]:
     return tables | {FACT: read_table(spark, f"{marts}/{FACT}", FACT_DDL)}
 
 
+def run_publish(spark: SparkSession, root: str, database: str, day: Day = None) -> DataFrame:
+    """Publish a day of the silver tables; returns the load audit."""
+    tables = {name: read_silver(spark, f"{root}/silver", name) for name in SILVER_TABLES}
+    return publish(spark, tables, database, f"{root}/warehouse", day=run_date(day))
+
+
+def run_marts(
+    spark: SparkSession, root: str, database: str, day: Day = None, *, full_refresh: bool = False
+) -> None:
+    """Model the published tables as of a day; ``full_refresh`` makes the fact anew."""
+    published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
+    state_root = f"{root}/state/marts"
+    build_marts(spark, published, f"{root}/marts", day=run_date(day), state_root=state_root, full_refresh=full_refresh)
+
+
 def run_after_landing(
-    spark: SparkSession, root: str, database: str, day: Day = None, *, mode: str = "replace_day"
+    spark: SparkSession,
+    root: str,
+    database: str,
+    day: Day = None,
+    *,
+    mode: str = "replace_day",
+    full_refresh: bool = False,
 ) -> DataFrame:
     """Parse, flatten, publish and model a day that is landed; returns the load audit."""
     day = run_date(day)
     landed = one_day(read_table(spark, f"{root}/raw", RAW_DDL), day)
-    parse_landed(landed, f"{root}/parsed", mode)
+    parse_landed(landed, f"{root}/parsed", mode, day)
     build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode, state_root=f"{root}/state")
-    tables = {name: read_silver(spark, f"{root}/silver", name) for name in SILVER_TABLES}
-    audit = publish(spark, tables, database, f"{root}/warehouse", day=day)
-    published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
-    build_marts(spark, published, f"{root}/marts", day=day, state_root=f"{root}/state/marts")
+    audit = run_publish(spark, root, database, day)
+    run_marts(spark, root, database, day, full_refresh=full_refresh)
     return audit
 
 
 def run_day(
-    spark: SparkSession, files_root: str, root: str, database: str, day: Day = None, *, mode: str = "replace_day"
+    spark: SparkSession,
+    files_root: str,
+    root: str,
+    database: str,
+    day: Day = None,
+    *,
+    mode: str = "replace_day",
+    full_refresh: bool = False,
 ) -> DataFrame:
     """Land a day's files and bring everything up to date; returns the load audit.
 
@@ -83,7 +109,7 @@ def run_day(
     """
     day = run_date(day)
     land_files(spark, files_root, f"{root}/raw", day)
-    return run_after_landing(spark, root, database, day, mode=mode)
+    return run_after_landing(spark, root, database, day, mode=mode, full_refresh=full_refresh)
 
 
 def run_checks(spark: SparkSession, database: str, marts: str) -> DataFrame:

@@ -1,52 +1,69 @@
-"""Landing raw documents: one per film and day."""
+"""Landing raw documents: one per path, which names the film and the day."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.functions.columns import Day
 from snapstar.operators.incremental import rows_of_same_days
 from snapstar.operators.keyed import insert_absent
 from snapstar.plans.marts import merge_days
-from snapstar.schemas import DOCUMENT_KEYS, RAW_DDL
+from snapstar.schemas import RAW_DDL
 from snapstar.sinks.write import append_days, balanced
-from snapstar.sources.raw import read_raw_files
+from snapstar.sources.raw import file_paths, read_raw_files, read_some_files
 from snapstar.sources.tables import one_day, read_or_empty
 
+#: What makes a document: its path. The id in it may be anything, and is null in the table if it is no number.
+PATH_KEYS = ["source_file", "snapshot_date"]
+
 
 def absent_documents(spark: SparkSession, incoming: DataFrame, landed_path: str, day: Day = None) -> DataFrame:
-    """Incoming documents that were not landed yet, one per film and day.
+    """Incoming documents whose path was not landed yet, one per path.
 
     Only the landed days that arrive again are looked at; when all documents are
     of one ``day``, they need not be read for that.
     """
     landed = read_or_empty(spark, landed_path, RAW_DDL)
     same_days = rows_of_same_days(landed, incoming) if day is None else one_day(landed, day)
-    return insert_absent(same_days, incoming, DOCUMENT_KEYS)
+    return insert_absent(same_days, incoming, PATH_KEYS)
 
 
 def land(
     spark: SparkSession, incoming: DataFrame, landed_path: str, *, replace: bool = False, day: Day = None
-) -> None:
-    """Land documents; a document that is there stays, or with ``replace`` is replaced.
+) -> int:
+    """Land documents; one that is there stays, or with ``replace`` is replaced. Returns how many this run landed.
 
     Documents of many days are shuffled once more, so that each day gets few
     files. Those of one ``day`` are written as the join left them.
     """
     if replace:
-        merge_days(spark, incoming, landed_path, RAW_DDL)
-        return
+        merge_days(spark, incoming, landed_path, RAW_DDL, PATH_KEYS, day)
+        return incoming.select(*PATH_KEYS).distinct().count()
     absent = absent_documents(spark, incoming, landed_path, day)
-    append_days(balanced(absent) if day is None else absent, landed_path)
+    return _add(balanced(absent) if day is None else absent, landed_path)
 
 
-def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *, replace: bool = False) -> None:
-    """Land one day's files in the raw table, whose few large files replace the many small ones."""
-    land(spark, read_raw_files(spark, raw_root, day), landed_path, replace=replace, day=day)
+def absent_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day) -> DataFrame:
+    """The day's files that were not landed yet, (path, source_file). No text is read for that, so none is shuffled."""
+    landed = one_day(read_or_empty(spark, landed_path, RAW_DDL), day).select("source_file")
+    return file_paths(spark, raw_root, day).join(landed, "source_file", "left_anti")
 
 
-def landed_count(spark: SparkSession, landed_path: str) -> DataFrame:
-    """Documents per landed day."""
-    landed = read_or_empty(spark, landed_path, RAW_DDL)
-    return landed.groupBy("snapshot_date").agg(F.count("*").alias("n_documents"))
+def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *, replace: bool = False) -> int:
+    """Land one day's files in the raw table, whose few large files replace the many small ones.
+
+    Paths are unique, so that documents are read and written without a shuffle of
+    their text. The paths of new files come to the driver, which lists the day's
+    files for the scan anyway. Returns how many this run landed.
+    """
+    if replace:
+        return land(spark, read_raw_files(spark, raw_root, day), landed_path, replace=True, day=day)
+    paths = [r.path for r in absent_files(spark, raw_root, landed_path, day).select("path").collect()]
+    return _add(read_some_files(spark, paths), landed_path) if paths else 0
+
+
+def _add(rows: DataFrame, landed_path: str) -> int:
+    seen = Observation()
+    append_days(rows.observe(seen, F.count("*").alias("n")), landed_path)
+    return seen.get["n"]

@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.functions.columns import all_present
-from snapstar.operators.incremental import newer_rows, rows_of_same_days
+from snapstar.functions.columns import Day, all_present
+from snapstar.operators.incremental import rows_of_same_days
 from snapstar.operators.keyed import latest_per_key, one_per_key, supersede, upsert
 from snapstar.plans.silver import most_popular
 from snapstar.schemas import (
@@ -16,6 +16,7 @@ from snapstar.schemas import (
     BRIDGE_CREW_COLUMNS,
     BRIDGE_GENRE_COLUMNS,
     CREDIT_KEYS,
+    DEFAULT_MARK,
     DIM_MOVIE_COLUMNS,
     DOCUMENT_KEYS,
     FACT_FIELDS,
@@ -25,7 +26,7 @@ from snapstar.schemas import (
     names,
 )
 from snapstar.sinks.write import DAY, balanced, overwrite, replace_days
-from snapstar.sources.tables import read_if_exists
+from snapstar.sources.tables import one_day, partition_values, read_if_exists
 
 FACT_DDL = (
     "movie_id bigint, popularity double, vote_average double, vote_count bigint, revenue bigint, runtime bigint, "
@@ -72,11 +73,14 @@ def dim_person(staged: DataFrame) -> DataFrame:
 
 
 # --- bridges ---------------------------------------------------------------------------
+def credits(staged: DataFrame, columns: str) -> DataFrame:
+    """Every version of each credit. A rank over keys cannot change which of them are null: filter before it."""
+    return staged.filter(all_present(["movie_id", "person_id"])).select(*names(columns), DAY)
+
+
 def credit_bridge(staged: DataFrame, columns: str) -> DataFrame:
     """The last version of each credit; credits that vanished upstream stay."""
-    # A rank over keys cannot change which key columns are null: filter before it.
-    rows = staged.filter(all_present(["movie_id", "person_id"])).select(*names(columns), DAY)
-    return latest_per_key(rows, CREDIT_KEYS).select(*names(columns))
+    return latest_per_key(credits(staged, columns), CREDIT_KEYS).select(*names(columns))
 
 
 def genre_bridge(staged: DataFrame) -> DataFrame:
@@ -109,14 +113,6 @@ BRIDGES = {
 }
 
 
-def build_dims(views: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: build(views[view]) for name, (view, build) in DIMENSIONS.items()}
-
-
-def build_bridges(views: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: build(views[view]) for name, (view, build) in BRIDGES.items()}
-
-
 # --- fact --------------------------------------------------------------------------------
 def fact_rows(staged: DataFrame) -> DataFrame:
     return staged.select(*DOCUMENT_KEYS, *names(FACT_FIELDS))
@@ -127,45 +123,45 @@ def advance_fact(
 ) -> None:
     """Bring the fact table up to date with the days it does not have yet.
 
-    The first run takes every row. Later runs take only days after the last one
-    and write them as new day folders: no row of the table has their key, so the
-    merge needs neither a join nor a rewrite. Duplicate keys within the new days
-    are merged to one row unless ``keep_duplicates``.
+    The first run takes every row. Later runs take only days after the last one,
+    which the table's folders name, and write them as new day folders: no row of
+    the table has their key, so the merge needs neither a join nor a rewrite, and
+    no file of the table is opened. Duplicate keys within the new days are merged
+    to one row unless ``keep_duplicates``.
     """
     rows = fact_rows(staged)
-    target = None if full_refresh else read_if_exists(spark, path, FACT_DDL)
-    if target is not None:
-        rows = newer_rows(rows, target)
-        if not keep_duplicates:
-            rows = one_per_key(rows, DOCUMENT_KEYS)
-    if target is None:
+    if full_refresh or read_if_exists(spark, path, FACT_DDL) is None:
         overwrite(balanced(rows), path, by=DAY)
-    else:
-        replace_days(balanced(rows), path)
+        return
+    last = max(partition_values(spark, path, DAY), default=DEFAULT_MARK)
+    rows = rows.filter(F.col(DAY) > F.lit(last).cast("date"))
+    replace_days(balanced(rows if keep_duplicates else one_per_key(rows, DOCUMENT_KEYS)), path)
 
 
-def merge_days(spark: SparkSession, delta: DataFrame, path: str, ddl: str, keys: list[str] = DOCUMENT_KEYS) -> None:
-    """Merge rows of any day into a table partitioned by day; rewrites only the days they touch."""
+def merge_days(
+    spark: SparkSession, delta: DataFrame, path: str, ddl: str, keys: list[str] = DOCUMENT_KEYS, day: Day = None
+) -> None:
+    """Merge rows into a table partitioned by day; rewrites only the days they touch, which is ``day`` if it is given."""
     target = read_if_exists(spark, path, ddl)
     if target is None:
         overwrite(balanced(one_per_key(delta, keys)), path, by=DAY)
         return
-    touched = rows_of_same_days(target, delta)
+    touched = rows_of_same_days(target, delta) if day is None else one_day(target, day)
     replace_days(balanced(upsert(touched, delta, keys).select(*target.columns)), path)
 
 
 # --- later days on top of a finished table -----------------------------------------------------
 def advance_dim_movie(previous: DataFrame, staged_days: DataFrame) -> DataFrame:
     """The film dimension after later days, without reading older ones again."""
-    return supersede(previous, dim_movie(staged_days), ["movie_id"])
+    return supersede(previous, staged_days, ["movie_id"])
 
 
 def advance_cast_bridge(previous: DataFrame, staged_days: DataFrame) -> DataFrame:
-    return supersede(previous, cast_bridge(staged_days), CREDIT_KEYS)
+    return supersede(previous, credits(staged_days, BRIDGE_CAST_COLUMNS), CREDIT_KEYS)
 
 
 def advance_crew_bridge(previous: DataFrame, staged_days: DataFrame) -> DataFrame:
-    return supersede(previous, crew_bridge(staged_days), CREDIT_KEYS)
+    return supersede(previous, credits(staged_days, BRIDGE_CREW_COLUMNS), CREDIT_KEYS)
 
 
 def advance_genre_bridge(previous: DataFrame, staged_days: DataFrame) -> DataFrame:

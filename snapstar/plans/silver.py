@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from snapstar.functions.columns import Day, safe_date
 from snapstar.operators.explode import explode_child
-from snapstar.operators.keyed import dimension, one_per_key, supersede
+from snapstar.operators.keyed import dimension, last_seen, one_per_key, supersede
 from snapstar.plans.carry import carry
 from snapstar.schemas import (
     CHILDREN,
@@ -97,8 +97,9 @@ def advance_dim(previous: DataFrame, documents: DataFrame, table: str) -> DataFr
     """A dimension after the documents of later days, without reading older ones again."""
     if table == "dim_person":
         return most_popular(previous.unionByName(people(documents)))
-    current = history_dim(documents, table)
-    return supersede(previous, current, current.columns[:1])
+    dim = DIMS[table]
+    seen = last_seen(explode_child(documents, CHILDREN[dim.child]), names(dim.columns))
+    return supersede(previous, seen, names(dim.columns)[:1])
 
 
 def build_silver(
@@ -124,14 +125,14 @@ def build_silver(
     save = DAILY_MODES[mode]
 
     def write_films() -> None:
-        save(movies(today), f"{silver_root}/movies")
+        save(movies(today), f"{silver_root}/movies", day)
         films = movies(today)
         if mode == "replace_day":
             films = one_day(read_silver(spark, silver_root, "movies"), day)
-        save(daily_fact(films), f"{silver_root}/fact_movie_daily_snapshot")
+        save(daily_fact(films), f"{silver_root}/fact_movie_daily_snapshot", day)
 
     def write_child(table: str) -> None:
-        save(child_table(today, table), f"{silver_root}/{table}")
+        save(child_table(today, table), f"{silver_root}/{table}", day)
 
     def write_dim(table: str) -> None:
         build, advance = partial(silver_table, table=table), partial(advance_dim, table=table)

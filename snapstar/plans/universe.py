@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from snapstar.functions.columns import Day
 from snapstar.operators.keyed import set_difference, set_union
 from snapstar.schemas import RAW_DDL
-from snapstar.sources.discovery import discovered_ids, listed, read_pages, released_between
+from snapstar.sources.discovery import discovered_ids, listed, missing_pages, read_pages, released_between
 from snapstar.sources.state import load_ids, save_ids
 from snapstar.sources.tables import one_day, read_or_empty
 
 
+class IncompleteListing(ValueError):
+    """A landed listing has fewer pages than it says."""
+
+
 def new_ids(discovered: DataFrame, tracked: DataFrame) -> DataFrame:
     """Discovered ids that were not tracked."""
     return set_difference(discovered.select("movie_id"), tracked.select("movie_id"))
@@ -56,10 +60,14 @@ def update_universe(
     """Add the ids discovered on a day to the tracked ones; returns the run's metrics.
 
     A daily run looks for films released on the day itself. ``window`` looks for
-    a range of release days instead, in the pages landed for that range.
+    a range of release days instead, in the pages landed for that range. A
+    listing that lacks pages raises ``IncompleteListing``, and nothing is saved.
     """
     first, last = window or (str(day), str(day))
-    entries = listed(read_pages(spark, pages_root, day, window))
+    pages = read_pages(spark, pages_root, day, window)
+    if lacking := missing_pages(pages).head(5):
+        raise IncompleteListing(", ".join(f"{r.folder}: {r.landed} of {r.total_pages} pages" for r in lacking))
+    entries = listed(pages)
     discovered = discovered_ids(released_between(entries, first, last))
     before = load_ids(spark, state_path)
     save_ids(spark, updated_universe(before, discovered), state_path)

@@ -84,6 +84,3 @@ def publish(
     audit = at_once([partial(load, name, given) for name, given in tables.items()], parallel)
     return spark.createDataFrame(audit, AUDIT_DDL)
 
-
-def create_view(rows: DataFrame, name: str) -> None:
-    rows.createOrReplaceTempView(name)

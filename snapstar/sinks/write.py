@@ -7,6 +7,9 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from snapstar.functions.columns import Day, day_literal, run_date
 
 T = TypeVar("T")
 
@@ -41,14 +44,26 @@ def replace_days(rows: DataFrame, path: str, by: str = DAY) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def replace_day(rows: DataFrame, path: str, day: Day) -> None:
+    """Make the table's ``day`` hold just these rows, none included; the rows must not be read from that day.
+
+    Rows of other days are left out. Running it again changes nothing.
+    """
+    rows = rows.filter(F.col(DAY) == day_literal(day)).drop(DAY)
+    rows.write.mode("overwrite").parquet(f"{path}/{DAY}={run_date(day)}")
+
+
 def overwrite(rows: DataFrame, path: str, by: str | None = None) -> None:
     """Replace the whole table; the rows must not be read from it."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 
-# How a daily table takes the rows of a run.
-DAILY_MODES = {"append": append_days, "replace_day": replace_days}
+# How a daily table takes the rows of a day's run.
+DAILY_MODES: dict[str, Callable[[DataFrame, str, Day], None]] = {
+    "append": lambda rows, path, day: append_days(rows, path),
+    "replace_day": replace_day,
+}
 
 
 def inspect(rows: DataFrame) -> None:

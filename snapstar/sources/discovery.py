@@ -14,9 +14,22 @@ def read_pages(spark: SparkSession, root: str, day: Day = None, window: tuple[st
     folder = f"{root}/snapshot_date={day or '*'}"
     if window:
         folder += f"/window={window[0]}_{window[1]}"
+    # A listing has hundreds of pages at most. Its windows lie below it, so that names are matched at one level.
     return spark.read.schema(DISCOVERY_DDL).option("multiLine", True).json(f"{folder}/page=*.json")
 
 
+def missing_pages(pages: DataFrame) -> DataFrame:
+    """Listings that are not complete: (folder, landed, total_pages), none if every page up to the last is there."""
+    file = F.col("_metadata.file_path")
+    number = F.regexp_extract(file, r"page=(\d+)", 1).cast("int")
+    numbered = pages.select("total_pages", F.regexp_extract(file, "^(.*)/", 1).alias("folder"), number.alias("page"))
+    found = numbered.groupBy("folder").agg(
+        F.count_distinct(F.when(F.col("page") <= F.col("total_pages"), F.col("page"))).alias("landed"),
+        F.max("total_pages").alias("total_pages"),
+    )
+    return found.filter("landed < total_pages")
+
+
 def listed(pages: DataFrame) -> DataFrame:
     """The entries of all pages, one row each."""
     return pages.select(F.inline("results"))

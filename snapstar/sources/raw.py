@@ -7,18 +7,38 @@ from pyspark.sql import functions as F
 
 from snapstar.functions.columns import Day, day_from_path, day_literal
 
+FILES = "movie_id=*.json"
+
 
 def read_raw_files(spark: SparkSession, root: str, day: Day = None) -> DataFrame:
     """One row per file under ``root/snapshot_date=D/movie_id=*.json``.
 
-    Without a day, all days are read. The path gives the day and the id.
+    Without a day, all days are read. The path gives the day and the id; an id
+    that is no number is null. The scan has one root path, the day's folder or
+    ``root``, and names are filtered as the folder is listed.
     """
-    pattern = f"{root}/snapshot_date={day or '*'}/movie_id=*.json"
-    files = spark.read.text(pattern, wholetext=True)
+    folder = f"{root}/snapshot_date={day}" if day else root
+    files = spark.read.option("pathGlobFilter", FILES).text(folder, wholetext=True)
+    return documents(files.select(F.col("value").alias("raw_json"), F.col("_metadata.file_path").alias("source_file")))
+
+
+def file_paths(spark: SparkSession, root: str, day: Day) -> DataFrame:
+    """The day's files, (path, source_file): how to open each, and its name as ``read_raw_files`` gives it."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", FILES).load(f"{root}/snapshot_date={day}")
+    return files.select("path", F.col("_metadata.file_path").alias("source_file"))
+
+
+def read_some_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The same rows for just these files."""
+    files = spark.read.text(paths, wholetext=True)
+    return documents(files.select(F.col("value").alias("raw_json"), F.col("_metadata.file_path").alias("source_file")))
+
+
+def documents(files: DataFrame) -> DataFrame:
+    """Day and id beside the text and path of each file."""
     path = F.col("source_file")
     return (
-        files.withColumnRenamed("value", "raw_json")
-        .withColumn("source_file", F.col("_metadata.file_path"))
+        files
         .withColumn("snapshot_date", day_from_path(path))
         .withColumn("movie_id", F.regexp_extract(path, r"movie_id=(\d+)", 1).try_cast("bigint"))
     )

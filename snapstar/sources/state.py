@@ -9,26 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.sources.tables import read_or_empty
+from snapstar.sources.tables import partition_values, remove
 
-STATE_DDL = "movie_id bigint, version int"
+IDS_DDL = "movie_id bigint"
+#: Versions that stay, so that readers of the one before the last can finish.
+KEPT = 5
 
 
 def load_ids(spark: SparkSession, path: str) -> DataFrame:
     """The tracked ids; none when nothing was saved yet."""
-    versions = read_or_empty(spark, path, STATE_DDL)
-    last = versions.agg(F.max("version")).scalar()
-    return versions.filter(F.col("version") == last).select("movie_id")
+    versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], IDS_DDL)
+    return spark.read.schema(IDS_DDL).parquet(f"{path}/version={versions[-1]}")
 
 
 def save_ids(spark: SparkSession, ids: DataFrame, path: str) -> str:
-    """Write the ids, sorted, as the next version; returns its folder."""
-    last = read_or_empty(spark, path, STATE_DDL).agg(F.max("version")).first()[0]
-    folder = f"{path}/version={(last or 0) + 1}"
+    """Write the ids, sorted, as the next version; returns its folder. The last ``KEPT`` versions stay."""
+    versions = _versions(spark, path)
+    folder = f"{path}/version={(versions or [0])[-1] + 1}"
     ids.select("movie_id").orderBy("movie_id").write.mode("overwrite").parquet(folder)
+    for old in versions[: 1 - KEPT]:
+        remove(spark, f"{path}/version={old}")
     return folder
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """By listing the folder; no version but the one that is wanted is opened."""
+    return sorted(int(v) for v in partition_values(spark, path, "version"))
+
+
 def read_id_array(spark: SparkSession, path: str) -> DataFrame:
     """Ids of a JSON array of integers, one line or many.
 

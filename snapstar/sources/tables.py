@@ -35,6 +35,26 @@ def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl) if found is None else found
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values that have a ``column=value`` folder, sorted as text, by listing one folder; no file is opened."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    values = [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
+    return sorted(v for v in values if not v.startswith("__"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def one_day(rows: DataFrame, day: Day = None) -> DataFrame:
     """The rows of one day; on a table partitioned by day only its files are read."""
     return rows.filter(F.col("snapshot_date") == day_literal(day))

@@ -12,7 +12,6 @@ from snapstar.operators.keyed import (
     dimension,
     insert_absent,
     one_per_key,
-    rows_without,
     set_difference,
     set_union,
     supersede,
@@ -68,7 +67,8 @@ def test_insert_absent(spark, target, delta):
 @given(pairs, pairs)
 def test_supersede(spark, before, after):
     old, new = dict(before), dict(after)
-    found = supersede(frame(spark, list(old.items())), frame(spark, list(new.items())), ["k"])
+    later = frame(spark, list(new.items())).withColumn("snapshot_date", F.lit("2026-04-08").cast("date"))
+    found = supersede(frame(spark, list(old.items())), later, ["k"])
     assert rows_of(found) == ordered((old | new).items())
 
 
@@ -101,9 +101,6 @@ def test_hot_key_survives_or_goes_whole(spark, threshold):
     try:
         rows = skewed(spark)
         hot = rows.filter("k = 0").count()
-        others = frame(spark, [(3, 1), (6, 1), (6, 2)])
-        assert rows_without(rows, others, ["k"]).count() == 30000 - 2
-        assert rows_without(rows, frame(spark, [(0, 1)]), ["k"]).count() == 30000 - hot
         merged = upsert(rows, frame(spark, [(0, 1), (0, 0), (-1, 5)]), ["k"])
         assert merged.filter("k <= 0").count() == 2
         assert merged.count() == 30000 - hot + 2
@@ -112,11 +109,14 @@ def test_hot_key_survives_or_goes_whole(spark, threshold):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_hot_key_is_spread(spark):
-    rows = skewed(spark)
-    salted = rows.withColumn("s", F.pmod(F.xxhash64(F.spark_partition_id(), "k", "v"), F.lit(16)))
-    shares = [r["count"] for r in salted.filter("k = 0").groupBy("s").count().collect()]
-    assert max(shares) < 0.6 * sum(shares)
+def test_merges_need_one_exchange(spark):
+    rows = skewed(spark).withColumn("snapshot_date", F.lit("2026-04-08").cast("date"))
+    once = rows.dropDuplicates(["k"])
+    before = plan_of(once).count("Exchange hashpartitioning")
+    both = upsert(rows, frame(spark, [(0, 1)]).withColumn("snapshot_date", F.lit("2026-04-08").cast("date")), ["k"])
+    assert plan_of(both).count("Exchange hashpartitioning") == 1
+    assert plan_of(supersede(once.drop("snapshot_date"), rows, ["k"])).count("Exchange hashpartitioning") == before + 1
+    assert "Join" not in plan_of(both)
 
 
 def test_dimension_shuffles_distinct_rows_only(spark):

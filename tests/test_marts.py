@@ -3,15 +3,16 @@
 import datetime as dt
 
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from snapstar.plans import marts
 from snapstar.plans.carry import carry
-from snapstar.plans.landing import land, land_files, landed_count
+from snapstar.plans.landing import absent_files, land, land_files
 from snapstar.plans.marts import FACT_DDL, advance_fact, merge_days
 from snapstar.schemas import RAW_DDL, STAGING, names
-from snapstar.sources.tables import read_table
+from snapstar.sinks.write import replace_day
+from snapstar.sources.tables import partition_values, read_table
 
 FACT = "movie_id bigint, snapshot_date string, popularity double"
 
@@ -71,22 +72,34 @@ def raw(spark, *rows):
 
 
 def test_landing(spark, root):
-    land(spark, raw(spark, (1, "a", "2026-04-08"), (1, "b", "2026-04-08"), (2, "c", "2026-04-08")), root)
+    assert land(spark, raw(spark, (1, "a", "2026-04-08"), (1, "b", "2026-04-08"), (2, "c", "2026-04-08")), root) == 2
     again = raw(spark, (1, "z", "2026-04-08"), (3, "d", "2026-04-08"), (1, "e", "2026-04-09"))
-    land(spark, again, root)
+    assert land(spark, again, root) == 2
     assert rows_of(read_table(spark, root, RAW_DDL), "movie_id", "raw_json") == [(1, "a"), (1, "e"), (2, "c"), (3, "d")]
     land(spark, again, root, replace=True)
     assert rows_of(read_table(spark, root, RAW_DDL), "movie_id", "raw_json") == [(1, "e"), (1, "z"), (2, "c"), (3, "d")]
-    assert rows_of(landed_count(spark, root), "n_documents") == [(1,), (3,)]
 
 
 def test_landing_files(spark, tmp_path):
     folder = tmp_path / "files" / "snapshot_date=2026-04-08"
     folder.mkdir(parents=True)
+    given = f"{tmp_path}/files", f"{tmp_path}/raw", "2026-04-08"
     (folder / "movie_id=7.json").write_text('{"id": 7}')
-    for _ in range(2):
-        land_files(spark, f"{tmp_path}/files", f"{tmp_path}/raw", "2026-04-08")
-    assert rows_of(read_table(spark, f"{tmp_path}/raw", RAW_DDL), "movie_id", "raw_json") == [(7, '{"id": 7}')]
+    assert [land_files(spark, *given) for _ in range(2)] == [1, 0]
+    for name in ("x1", "x2", "a b%20c"):
+        (folder / f"movie_id={name}.json").write_text(f'{{"id": "{name}"}}')
+    (folder / "other.json").write_text("{}")
+    assert [land_files(spark, *given) for _ in range(2)] == [3, 0]
+    expected = [(None, '{"id": "a b%20c"}'), (None, '{"id": "x1"}'), (None, '{"id": "x2"}'), (7, '{"id": 7}')]
+    assert rows_of(read_table(spark, f"{tmp_path}/raw", RAW_DDL), "movie_id", "raw_json") == expected
+    (folder / "movie_id=x1.json").write_text('{"id": 1}')
+    assert land_files(spark, *given, replace=True) == 4
+    expected[1] = (None, '{"id": "x2"}')
+    expected[2] = (None, '{"id": 1}')
+    assert rows_of(read_table(spark, f"{tmp_path}/raw", RAW_DDL), "movie_id", "raw_json") == sorted(
+        expected, key=lambda r: (r[0] is not None, r[1])
+    )
+    assert "raw_json" not in plan_of(absent_files(spark, *given))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         land_files(spark, f"{tmp_path}/files", f"{tmp_path}/raw", "2026-04-09")
 
@@ -120,7 +133,20 @@ def test_carry(spark, root):
     assert rows_of(carry(spark, root, "2026-04-10", history, *steps)) == full
     late = credits(spark, *DAY_ONE, *DAY_TWO, (5, 5, "late", 0, "z", 7))
     assert rows_of(carry(spark, root, "2026-04-07", late, *steps)) == rows_of(marts.cast_bridge(late))
-    assert rows_of(spark.read.parquet(root + "/as_of=2026-04-10")) == rows_of(marts.cast_bridge(late))
+    assert partition_values(spark, root, "generation") == ["2"]
+    # A rerun of the last day and the days after it keep the late one.
+    for day in ("2026-04-10", "2026-04-11", "2026-04-12", "2026-04-13", "2026-04-14"):
+        assert rows_of(carry(spark, root, day, late, *steps)) == rows_of(marts.cast_bridge(late))
+    assert len(partition_values(spark, root + "/generation=2", "as_of")) == 3
+
+
+def test_replace_day_with_nothing(spark, root):
+    both = fact(spark, (1, "2026-04-08", 1.0), (1, "2026-04-09", 2.0))
+    for day in ("2026-04-08", "2026-04-09"):
+        replace_day(both, root, day)
+    assert stored(spark, root) == [(1, 8, 1.0), (1, 9, 2.0)]
+    replace_day(both.filter("popularity > 1"), root, "2026-04-08")
+    assert stored(spark, root) == [(1, 9, 2.0)]
 
 
 def test_a_skipped_day_is_caught_up(spark, root):

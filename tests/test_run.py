@@ -7,16 +7,19 @@ import pytest
 from conftest import rows_of
 
 from snapstar.__main__ import arguments, run
+from snapstar.functions.columns import day_literal, run_date
 from snapstar.operators.quality import check_report, declared_checks, duplicate_keys, null_rows
 from snapstar.plans.daily import read_marts, run_checks, run_day
-from snapstar.plans.examples import first_example, second_example
-from snapstar.plans.universe import backfill, update_universe
+from snapstar.plans.examples import first_example, literal_rows, second_example
+from snapstar.plans.landing import land_files
+from snapstar.plans.universe import IncompleteListing, backfill, update_universe
 from snapstar.schemas import CHILDREN, SILVER_TABLES
 from snapstar.session import scratch
-from snapstar.sinks.publish import create_view, publish
+from snapstar.sinks.publish import publish
 from snapstar.sinks.write import inspect
 from snapstar.sources.state import load_ids, read_id_array, save_ids
-from snapstar.sources.tables import source_tables
+from snapstar.sources.discovery import released_between
+from snapstar.sources.tables import partition_values, source_tables
 
 
 def write_json(path, payload):
@@ -34,6 +37,41 @@ def test_state(spark, root):
         path = save_ids(spark, spark.createDataFrame([(i,) for i in ids], "movie_id bigint"), root + "/s")
     assert path.endswith("version=3")
     assert [r[0] for r in load_ids(spark, root + "/s").collect()] == [2, 4]
+    for i in range(9):
+        save_ids(spark, spark.createDataFrame([(i,)], "movie_id bigint"), root + "/s")
+    assert len(partition_values(spark, root + "/s", "version")) == 5
+    assert load_ids(spark, root + "/s").first()[0] == 8
+
+
+def test_lost_page(spark, tmp_path):
+    day, pages, state = "2026-04-08", tmp_path / "discover", f"{tmp_path}/state"
+    for page in (1, 3):
+        write_json(
+            pages / f"snapshot_date={day}" / f"page={page}.json",
+            {"page": page, "total_pages": 3, "results": [entry(page, day)]},
+        )
+    with pytest.raises(IncompleteListing, match="2 of 3"):
+        update_universe(spark, str(pages), state, day)
+    assert load_ids(spark, state).count() == 0
+    write_json(pages / f"snapshot_date={day}" / "page=2.json", {"page": 2, "total_pages": 3, "results": []})
+    assert update_universe(spark, str(pages), state, day).first().universe_size == 2
+
+
+def test_run_date_defaults_to_today(spark):
+    assert run_date() == str(dt.date.today()) and run_date("2026-04-08") == "2026-04-08"
+    assert spark.range(1).select(day_literal()).first()[0] == dt.date.today()
+
+
+def test_sorted_outputs_are_sorted(spark, root):
+    ids = spark.range(5000).selectExpr("(id * 7919) % 5000 as movie_id").repartition(5)
+    folder = save_ids(spark, ids, root + "/s")
+    assert [r[0] for r in spark.read.parquet(folder).collect()] == list(range(5000))
+    entries = spark.createDataFrame(
+        [(i, f"2026-04-{i % 28 + 1:02d}", False, False) for i in range(300)],
+        "id long, release_date string, adult boolean, video boolean",
+    )
+    found = [(r.release_date, r.id) for r in released_between(entries.repartition(4), "2026-04-01", "2026-04-20").collect()]
+    assert found == sorted(found) and len(found) > 100
 
 
 @pytest.mark.parametrize("indent", [2, None])
@@ -91,6 +129,10 @@ def test_checks(spark):
     assert [r[3] for r in rows_of(report)] == [1, 0, 0, 0]
 
 
+def test_literal_rows(spark):
+    assert rows_of(literal_rows(spark.range(2))) == [(None,), (None,), (1,), (1,)]
+
+
 def test_declared_checks():
     tests = [t for _, _, tests in declared_checks() for t in tests]
     assert (tests.count("not_null"), tests.count("unique")) == (23, 9)
@@ -136,6 +178,19 @@ def test_days(spark, tmp_path):
     assert len(late["movies"]) == 4 and len(late["mart dim_movie"]) == 3
     assert len(late["mart bridge_movie_cast"]) == 4 and len(late["dim_person"]) == 4
     assert late["mart fct_movie_daily_snapshot"] == two["mart fct_movie_daily_snapshot"]
+    # A rerun of the last day goes on from states that know the late day; the next day too.
+    run_day(spark, str(files), root, "days", "2026-04-09")
+    assert snapshot() == late
+    # A film that lost its genres, and a day of which nothing is readable any more.
+    write_json(files / "snapshot_date=2026-04-09" / "movie_id=1.json", {"id": 1, "title": "uno", "genres": []})
+    land_files(spark, str(files), f"{root}/raw", "2026-04-09", replace=True)
+    run_day(spark, str(files), root, "days", "2026-04-09")
+    assert not [r for r in snapshot()["movie_genres"] if dt.date(2026, 4, 9) in r]
+    assert len(snapshot()["dim_genre"]) == 2
+    write_json(files / "snapshot_date=2026-04-09" / "movie_id=1.json", {"status_message": "not found"})
+    land_files(spark, str(files), f"{root}/raw", "2026-04-09", replace=True)
+    run_day(spark, str(files), root, "days", "2026-04-09")
+    assert len(snapshot()["movies"]) == 3
     report = run_checks(spark, "days", f"{root}/marts")
     assert report.count() == 32
     assert rows_of(report.filter("violations > 0")) == [("first_example", "id", "not_null", 1)]
@@ -144,8 +199,6 @@ def test_days(spark, tmp_path):
 def test_sources_and_views(spark, capsys):
     tables = {name: spark.range(1) for name in SILVER_TABLES}
     assert len(source_tables(tables)) == 13
-    create_view(spark.range(3), "three")
-    assert spark.table("three").count() == 3
     inspect(spark.createDataFrame([("a" * 50,)], "text string"))
     assert "a" * 50 in capsys.readouterr().out
     assert len(CHILDREN) == 10
@@ -168,4 +221,11 @@ def test_command_line(spark, tmp_path):
     run(spark, arguments(["land", "--files", files, "--raw", f"{tmp_path}/raw", *day]))
     assert spark.read.parquet(f"{silver}/movie_genres").first().genre_id == 7
     assert spark.read.parquet(f"{tmp_path}/raw").count() == 1
+    root = ["--root", f"{tmp_path}/wh", "--database", "jobs"]
+    run(spark, arguments(["day", "--files", files, *root, *day]))
+    assert run(spark, arguments(["publish", *root, *day])).filter("status = 'loaded'").count() == len(SILVER_TABLES)
+    marts = f"{tmp_path}/wh/marts/fct_movie_daily_snapshot"
+    run(spark, arguments(["marts", *root, *day, "--full-refresh"]))
+    assert spark.read.parquet(marts).count() == 1
+    assert run(spark, arguments(["land", "--files", files, "--raw", f"{tmp_path}/raw", *day])).first().landed == 0
     assert arguments(["checks", "--root", "r", "--database", "d"]).date == str(dt.date.today())
