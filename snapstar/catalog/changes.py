@@ -262,7 +262,7 @@ def _late_day_then_rerun(spark: SparkSession, rows: DataFrame, build, advance) -
     rows = rows.withColumn("snapshot_date", F.date_add("snapshot_date", 2 * spread))
     stored = scratch(spark, "history")
     overwrite(rows, stored, by="snapshot_date")
-    rows = read_table(spark, stored, rows.schema.simpleString()[7:-1])
+    rows = read_table(spark, stored, rows.schema.toDDL())
     seen: list[int] = []
     for day_number in (1, 2, 0, 2, 3):
         seen.append(day_number)
