@@ -20,7 +20,7 @@ from snapstar.session import stored
 CAPACITY = 2048
 END = 0
 #: Bytes of words and ids that a task remembers.
-MEMORY = 12 << 20
+MEMORY = 6 << 20
 #: Rows of a hot length are numbered in so many parts.
 SPREAD = 128
 
@@ -108,7 +108,7 @@ def tokens(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, i
             data, at = raw(batch.column(1))
             first = 0
             while first < len(batch):
-                last = max(first + 1, int(np.searchsorted(at, at[first] + (4 << 20), "right")) - 1)
+                last = max(first + 1, int(np.searchsorted(at, at[first] + (2 << 20), "right")) - 1)
                 own, ends = _spaced(data[at[first] : at[last]], at[first : last + 1] - at[first])
                 own = own.tobytes()
                 pieces = []
