@@ -41,7 +41,7 @@ WINDOW = 50
 #: A perfect difference set; each difference modulo the period occurs once.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 #: Bytes of text that a task holds at a time (a longer document is held whole), and keys in a bucket.
-CHUNK, BUCKET = 8 << 20, 1 << 20
+CHUNK, BUCKET = 4 << 20, 1 << 20
 KNOTS = 256
 MESSAGE = "chunk long, kind int, bucket long, data binary"
 TEXT, COPY, TIED, EARLIER = 0, 1, 2, 3
