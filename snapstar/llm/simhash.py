@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
@@ -147,9 +147,8 @@ def _forest(rows: np.ndarray, distance: int) -> pa.RecordBatch:
 
 
 def groups(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(simhash, root) for every fingerprint that is linked to another one; ``prints`` has column simhash."""
-    distinct = stored(prints.select("simhash").distinct(), "simhashes")
-    found = components(links(distinct, distance), "simhash-links")
+    """(simhash, root) for every fingerprint that is linked to another one; ``prints`` has column simhash, repeats or not."""
+    found = components(links(prints.select("simhash").distinct(), distance), "simhash-links")
     return stored(found.select(F.col("node").alias("simhash"), "root"), "simhash-groups")
 
 
@@ -161,9 +160,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     repeated row appears as often as it is given. Other columns are left out.
     """
     prints = stored(fingerprints(docs.select(id, text), shingle, text).select(id, "simhash"), "simhash-rows")
-    rooted = prints.join(groups(prints, distance), "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
-    least = rooted.groupBy("root").agg(F.min(id).alias("component_id"))
-    return rooted.join(least, "root").select(id, "simhash", "component_id")
+    each = _rooted(prints, distance, F.min(id).alias("least"))
+    least = each.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = stored(each.join(least, "root").select("simhash", "component_id"), "simhash-components")
+    return prints.join(found, "simhash").select(id, "simhash", "component_id")
+
+
+def _rooted(prints: DataFrame, distance: int, first: Column) -> DataFrame:
+    """(simhash, root, ``first``), a row for each fingerprint, however many documents share it."""
+    each = stored(prints.groupBy("simhash").agg(first), "simhash-each")
+    rooted = each.join(groups(each, distance), "simhash", "left")
+    return rooted.withColumn("root", F.coalesce("root", "simhash"))
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,8 +180,8 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     """
     keys = [F.xxhash64(F.col(id).isNull(), id).alias("_id_hash"), F.xxhash64(text).alias("_text_hash")]
     prints = stored(fingerprints(docs.select(id, text, *keys), shingle, text).drop(text), "simhash-rows")
-    rooted = prints.join(groups(prints, distance), "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col(id).isNull(), id, "_text_hash", "_id_hash")).alias("one"))
+    one = F.min(F.struct(F.col(id).isNull(), id, "_text_hash", "_id_hash")).alias("one")
+    first = _rooted(prints, distance, one).groupBy("root").agg(F.min("one").alias("one"))
     kept = first.select("one._id_hash", "one._text_hash").distinct()
     chosen = docs.select("*", *keys).join(kept, ["_id_hash", "_text_hash"])
     alone = F.row_number().over(Window.partitionBy("_id_hash", "_text_hash").orderBy("_text_hash"))
