@@ -16,6 +16,8 @@ WINDOW = 5
 SYMBOLS = "[#*$%&|<>]"
 #: Share of a group that an estimate rests on, concentration steps, and rows below which a group joins the common one.
 SUBSET, STEPS, LEAST_ROWS = 0.75, 5, 50
+#: Parts of a group that meet its values on their own.
+SALTS = 32
 #: The statistics that are compared, and the least standard deviation of each: what is alike in all documents of a
 #: group says nothing about one of them.
 STATISTICS = {"word_length": 0.06, "symbols": 0.25, "dup_lines": 0.35, "repeats": 0.35}
@@ -116,6 +118,16 @@ def _distance(names: list[str]) -> Column:
     return sum((x * x for x in found.values()), F.lit(0.0))
 
 
+def _salt(columns: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS))
+
+
+def _beside(rows: DataFrame, values: DataFrame, group: str) -> DataFrame:
+    """Each row, which has a salt, with its group's values: a group meets them in ``SALTS`` parts, not as a whole."""
+    salts = F.array(*[F.lit(i).cast("long") for i in range(SALTS)])
+    return rows.join(values.withColumn("_salt", F.explode(salts)), [group, "_salt"])
+
+
 def distances(rows: DataFrame, group: str = "group") -> DataFrame:
     """``rows`` (with the columns of ``STATISTICS``) and ``distance``, squared, from their group's robust centre.
 
@@ -127,9 +139,10 @@ def distances(rows: DataFrame, group: str = "group") -> DataFrame:
     folder; the rows themselves never gather.
     """
     names = list(STATISTICS)
+    given, rows = rows.columns, rows.withColumn("_salt", _salt(rows.columns))
     middle = stored(rows.groupBy(group).agg(*[F.percentile_approx(a, 0.5, 10_000).alias(f"m_{a}") for a in names]), "mcd")
     off = [F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5, 10_000).alias(f"s_{a}") for a in names]
-    spread = rows.join(middle, group).groupBy(group).agg(*off)
+    spread = _beside(rows, middle, group).groupBy(group).agg(*off)
     diagonal = [
         (F.pow(1.4826 * F.col(f"s_{a}"), 2) if a == b else F.lit(0.0)).alias(f"c_{a}_{b}")
         for i, a in enumerate(names)
@@ -138,13 +151,13 @@ def distances(rows: DataFrame, group: str = "group") -> DataFrame:
     first = middle.join(spread, group).select(group, *[f"m_{a}" for a in names], *diagonal)
     centre = stored(first.select(group, *[f"m_{a}" for a in names], *_factor(names)), "mcd")
     for _ in range(STEPS):
-        far = rows.join(centre, group).select(group, *names, _distance(names).alias("_d"))
+        far = _beside(rows, centre, group).select(group, "_salt", *names, _distance(names).alias("_d"))
         cut = far.groupBy(group).agg(F.percentile_approx("_d", SUBSET, 10_000).alias("_cut"))
-        near = far.join(cut, group).filter("_d <= _cut").groupBy(group).agg(*_moments(names))
+        near = _beside(far, cut, group).filter("_d <= _cut").groupBy(group).agg(*_moments(names))
         centre = stored(near.select(group, *[f"m_{a}" for a in names], *_factor(names)), "mcd")
-    far = rows.join(centre, group).withColumn("_d", _distance(names))
+    far = _beside(rows, centre, group).withColumn("_d", _distance(names))
     scale = stored(far.groupBy(group).agg(F.greatest(F.lit(1.0), F.percentile_approx("_d", 0.5, 10_000) / MEDIAN).alias("_scale")), "mcd")
-    return far.join(scale, group).select(*rows.columns, (F.col("_d") / F.col("_scale")).alias("distance"))
+    return _beside(far, scale, group).select(*given, (F.col("_d") / F.col("_scale")).alias("distance"))
 
 
 def judge(docs: DataFrame, keep: list[str] | None = None, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -162,9 +175,9 @@ def judge(docs: DataFrame, keep: list[str] | None = None, text: str = "text", la
     one = F.concat_ws("\u0001", F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s"))))
     read = docs.select(*own, F.col(text).alias("_text"), one.alias("_group"))
     base = stored(statistics(read, [*names, "_group"], "_text"), "statistics")
-    passed = base.filter("not base_failed")
+    passed = base.filter("not base_failed").withColumn("_salt", _salt(base.columns))
     counts = stored(passed.groupBy("_group").agg((F.count("*") >= LEAST_ROWS).alias("_own")), "mcd")
-    rows = passed.join(counts, "_group").withColumn("group", F.when(F.col("_own"), F.col("_group")).otherwise(F.lit("")))
+    rows = _beside(passed, counts, "_group").withColumn("group", F.when(F.col("_own"), F.col("_group")).otherwise(F.lit("")))
     rows = rows.select(*[c for c in base.columns if c != "_group"], "group", *[v.alias(k) for k, v in transformed().items()])
     found = distances(stored(rows, "mcd-rows"))
     columns = [F.col(n).alias(c) for n, c in zip(names, keep, strict=True)]
