@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.catalog.base import query, register
-from snapstar.catalog.shapes import FIRST_DAY, customer_lines, day, film_columns, films, raw_films, table, write_files
+from snapstar.catalog.shapes import FIRST_DAY, customer_lines, day, film_columns, raw_films, table, write_files
 from snapstar.catalog.silver import CAST, DOC
 from snapstar.functions.columns import any_present, day_from_path, day_literal, parse_json, safe_date
 from snapstar.operators.explode import explode_child
-from snapstar.operators.keyed import latest_per_key
 from snapstar.plans.examples import flatten_documents, flatten_file
 from snapstar.plans.marts import cast_bridge, staging_view
 from snapstar.plans.parse import parse_documents, parse_raw, readable, rejected, some_fields
-from snapstar.plans.silver import child_table
 from snapstar.schemas import CHILDREN, PARSED_DDL, Child, Level
 from snapstar.session import scratch
 from snapstar.sinks.write import append_days, balanced

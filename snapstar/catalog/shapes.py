@@ -13,7 +13,6 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.plans.parse import parse_documents, readable
 
 DAY_OF_STATUS = "case l_linestatus when 'F' then date'2026-04-08' else date'2026-04-09' end"
 FIRST_DAY, SECOND_DAY = "2026-04-08", "2026-04-09"

@@ -18,6 +18,15 @@ Advance = Callable[[DataFrame, DataFrame], DataFrame]
 KEPT = 3
 
 
+def newest(spark: SparkSession, path: str) -> str:
+    """The folder of the last state under ``path``, or ``path`` itself for a table without states."""
+    generations = [int(g) for g in partition_values(spark, path, "generation")]
+    if not generations:
+        return path
+    folder = f"{path}/generation={max(generations)}"
+    return f"{folder}/as_of={max(partition_values(spark, folder, 'as_of'))}"
+
+
 def carry(
     spark: SparkSession, path: str, day: Day, history: DataFrame, build: Build, advance: Advance
 ) -> DataFrame:

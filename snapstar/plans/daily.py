@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from snapstar.functions.columns import Day, run_date
 from snapstar.operators.quality import check_report
-from snapstar.plans.carry import carry
+from snapstar.plans.carry import carry, newest
 from snapstar.plans.examples import first_example, second_example
 from snapstar.plans.landing import land_files
 from snapstar.plans.marts import ADVANCE, BRIDGES, DIMENSIONS, FACT_DDL, advance_fact, build_staging
@@ -28,23 +28,21 @@ def build_marts(
     marts: str,
     *,
     day: Day = None,
-    state_root: str | None = None,
     full_refresh: bool = False,
 ) -> None:
     """Rewrite dimensions and bridges, and advance the fact.
 
-    With a ``day`` and a ``state_root``, the marts over all days go on from
-    their last state.
+    With a ``day``, the marts over all days go on from their last state, and the
+    last state, which ``read_marts`` finds, is the table.
     """
     views = build_staging(source_tables(tables), register=True)
 
     def write(name: str) -> None:
         view, build = (DIMENSIONS | BRIDGES)[name]
-        if state_root and name in ADVANCE:
-            rows = carry(spark, f"{state_root}/{name}", day, views[view], build, ADVANCE[name])
+        if day is not None and name in ADVANCE:
+            carry(spark, f"{marts}/{name}", day, views[view], build, ADVANCE[name])
         else:
-            rows = build(views[view])
-        overwrite(rows, f"{marts}/{name}")
+            overwrite(build(views[view]), f"{marts}/{name}")
 
     def write_fact() -> None:
         rows = views["stg_fact_movie_daily_snapshot"]
@@ -54,7 +52,7 @@ def build_marts(
 
 
 def read_marts(spark: SparkSession, marts: str) -> dict[str, DataFrame]:
-    tables = {name: read_table(spark, f"{marts}/{name}") for name in (*DIMENSIONS, *BRIDGES)}
+    tables = {name: read_table(spark, newest(spark, f"{marts}/{name}")) for name in (*DIMENSIONS, *BRIDGES)}
     return tables | {FACT: read_table(spark, f"{marts}/{FACT}", FACT_DDL)}
 
 
@@ -69,8 +67,7 @@ def run_marts(
 ) -> None:
     """Model the published tables as of a day; ``full_refresh`` makes the fact anew."""
     published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
-    state_root = f"{root}/state/marts"
-    build_marts(spark, published, f"{root}/marts", day=run_date(day), state_root=state_root, full_refresh=full_refresh)
+    build_marts(spark, published, f"{root}/marts", day=run_date(day), full_refresh=full_refresh)
 
 
 def run_after_landing(
@@ -86,7 +83,7 @@ def run_after_landing(
     day = run_date(day)
     landed = one_day(read_table(spark, f"{root}/raw", RAW_DDL), day)
     parse_landed(landed, f"{root}/parsed", mode, day)
-    build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode, state_root=f"{root}/state")
+    build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode, state_root=f"{root}/silver")
     audit = run_publish(spark, root, database, day)
     run_marts(spark, root, database, day, full_refresh=full_refresh)
     return audit

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from snapstar.functions.columns import Day, safe_date
 from snapstar.operators.explode import explode_child
 from snapstar.operators.keyed import dimension, last_seen, one_per_key, supersede
-from snapstar.plans.carry import carry
+from snapstar.plans.carry import carry, newest
 from snapstar.schemas import (
     CHILDREN,
     DIMS,
@@ -90,7 +90,7 @@ def read_silver(spark: SparkSession, silver_root: str, table: str) -> DataFrame:
     """A silver table by its known schema, which files cannot tell while there are none."""
     if table not in _schemas:
         _schemas[table] = silver_table(spark.createDataFrame([], PARSED_DDL), table).schema
-    return spark.read.schema(_schemas[table]).parquet(f"{silver_root}/{table}")
+    return spark.read.schema(_schemas[table]).parquet(newest(spark, f"{silver_root}/{table}"))
 
 
 def advance_dim(previous: DataFrame, documents: DataFrame, table: str) -> DataFrame:
@@ -118,7 +118,8 @@ def build_silver(
     cached. With ``replace_day`` the fact is read back from ``movies``, whose day
     then holds each film once; after appends it may hold several copies, so the
     fact comes from the documents again. Dimensions come from all days, or with
-    a ``state_root`` from their last state and the days after it.
+    a ``state_root`` from their last state and the days after it; the last state,
+    which ``read_silver`` finds, is then the table, if that root is the silver one.
     """
     history = read_table(spark, parsed_path, PARSED_DDL)
     today = one_day(history, day)
@@ -137,10 +138,9 @@ def build_silver(
     def write_dim(table: str) -> None:
         build, advance = partial(silver_table, table=table), partial(advance_dim, table=table)
         if state_root:
-            rows = carry(spark, f"{state_root}/{table}", day, history, build, advance)
+            carry(spark, f"{state_root}/{table}", day, history, build, advance)
         else:
-            rows = build(history)
-        overwrite(rows, f"{silver_root}/{table}")
+            overwrite(build(history), f"{silver_root}/{table}")
 
     jobs = [write_films, *[partial(write_child, t) for t in CHILDREN], *[partial(write_dim, t) for t in HISTORY_TABLES]]
     at_once(jobs, parallel)

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from snapstar.operators.explode import explode_child
 from snapstar.plans.examples import first_example, flatten_documents, second_example
 from snapstar.plans.parse import parse_documents, readable
-from snapstar.plans.silver import advance_dim, build_silver, movies, silver_table
+from snapstar.plans.silver import advance_dim, build_silver, movies, read_silver, silver_table
 from snapstar.schemas import CHILDREN, DIMS, HISTORY_TABLES, PARSED_DDL, RAW_DDL, SILVER_TABLES, Child, Level
 from snapstar.sinks.write import append_days
 from snapstar.sources.tables import read_table
@@ -153,12 +153,12 @@ def test_build_silver_modes(spark, film, root):
     append_days(film, root + "/parsed")
     for _ in range(2):
         build_silver(spark, root + "/parsed", root + "/append", D1, "append")
-        build_silver(spark, root + "/parsed", root + "/replace", D1, "replace_day", state_root=root + "/state")
+        build_silver(spark, root + "/parsed", root + "/replace", D1, "replace_day", state_root=root + "/replace")
     for table in SILVER_TABLES:
         once = silver_table(film, table).count()
         times = 1 if table in HISTORY_TABLES else 2
         assert read_table(spark, f"{root}/append/{table}").count() == times * once
-        assert read_table(spark, f"{root}/replace/{table}").count() == once
+        assert read_silver(spark, f"{root}/replace", table).count() == once
 
 
 def test_examples(spark):
