@@ -280,7 +280,7 @@ def redact(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataF
 
     Of spans that overlap, the first names the kind and all are covered. Texts without a span, null ones too, stay as they are.
     """
-    model = fit(candidates(docs.select(text), text=text))
+    model = fit(stored(candidates(docs.select(text), text=text).select("candidates"), "pii"))
     rows = candidates(docs, "_pii", text).withColumn("_pii", F.array_sort(_placed(accepted(model, "_pii"))))
     here = F.col(text)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
