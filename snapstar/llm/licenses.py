@@ -5,29 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Normalised licence sentences, as SQL patterns, by identifier. Sentences are lower-case words joined by single spaces.
+#: Normalised licence sentences, as SQL patterns, by identifier. Sentences are lower-case words joined by
+#: single spaces, and start where ``START`` cuts: what stands before a reference ("this project is") is another sentence.
 SENTENCES = {
-    "ApacheRef": "(this (work|file|software|program|project) is )?licensed under the apache licen[cs]e,? version 2( 0)?( the license)?",
-    "ApacheUse": "you may not use this file except in compliance with the license",
+    "ApacheRef": "licensed under the apache licen[cs]e,? version 2( 0)?( (?![0-9]).*)?",
+    "ApacheUse": "you may not use this file except in compliance with the license( .*)?",
     "ApacheCopy": "you may obtain a copy of the license at.*",
     "ApacheAsIs": "unless required by applicable law or agreed to in writing.*",
-    "MitRef": "(this (work|file|software|program|project) is )?(released|licensed|distributed) under the mit licen[cs]e",
+    "MitRef": "(released|licensed|distributed) under the mit licen[cs]e( .*)?",
     "MitGrant": "permission is hereby granted free of charge to any person obtaining a copy.*",
-    "MitNotice": "the above copyright notice and this permission notice shall be included in.*",
+    "MitNotice": "the above copyright notice and this permission notice( including the next paragraph)? shall be included in.*",
     "MitAsIs": "the software is provided as is without warranty of any kind.*",
-    "GplRef": "(this (work|file|software|program|project) is )?licensed under the gnu general public licen[cs]e,? version (2|3)",
-    "GplFree": "this program is free software you can redistribute it.*gnu general public license.*",
-    "GplHope": "this program is distributed in the hope that it will be useful.*",
+    "GplRef": "licensed under the gnu general public licen[cs]e,? v(ersion )?(2|3)( .*)?",
+    "LgplFree": "free software you can redistribute it.*gnu (lesser|library) general public license.*",
+    "GplFree": "free software you can redistribute it.*gnu general public license.*",
+    "GplHope": "distributed in the hope that it will be useful.*",
+    "LgplCopy": "you should have received a copy of the gnu (lesser|library) general public license.*",
     "GplCopy": "you should have received a copy of the gnu general public license.*",
     "BsdGrant": "redistribution and use in source and binary forms with or without modification are permitted.*",
     "BsdSource": "redistributions of source code must retain the above copyright notice.*",
     "BsdBinary": "redistributions in binary form must reproduce the above copyright notice.*",
     "BsdName": "neither the name of.*may be used to endorse or promote products.*",
     "BsdAsIs": "this software is provided by the copyright holders and contributors as is.*",
-    "CcByNcRef": "(this (work|file|document|text) is )?licensed under cc by nc 4( 0)?",
-    "CcBySaRef": "(this (work|file|document|text) is )?licensed under cc by sa 4( 0)?",
-    "CcByRef": "(this (work|file|document|text) is )?licensed under cc by 4( 0)?",
-    "Rights": "all rights reserved",
+    "CcByNcRef": "licensed under cc by nc 4( 0)?( (?![0-9]).*)?",
+    "CcBySaRef": "licensed under cc by sa 4( 0)?( (?![0-9]).*)?",
+    "CcByRef": "licensed under cc by 4( 0)?( (?![0-9]).*)?",
+    "Rights": "all rights reserved( .*)?",
 }
 
 #: Licences by the sequences of identifiers that state them. A longer rule goes before what it contains.
@@ -38,6 +41,8 @@ RULES = [
     ("MIT", "MitGrant MitNotice MitAsIs"),
     ("GPL", "GplFree GplHope GplCopy"),
     ("GPL", "GplFree GplHope"),
+    ("LGPL", "LgplFree GplHope LgplCopy"),
+    ("LGPL", "LgplFree GplHope"),
     ("Apache-2.0", "ApacheRef"),
     ("MIT", "MitRef"),
     ("GPL", "GplRef"),
@@ -46,10 +51,25 @@ RULES = [
     ("CC-BY-4.0", "CcByRef"),
 ]
 #: What any known sentence contains; other sentences are not looked at further.
-CUES = "licen[cs]|permission|warrant|redistribut|copyright|endorse|rights reserved|free software|applicable law"
+CUES = "licen[cs]|permission|warrant|redistribut|copyright|endorse|reserved|free software|applicable law"
 CUE = f"(?i){CUES}"
-#: A sentence ends at a line feed, or at . ! ? ; : before white space or the end.
-END = r"\n|[.!?;:]+(?=[\x20\x09-\x0D]|$)"
+#: How the known sentences start.
+START = (
+    "(?<!not )(?:licensed|released|distributed) under (?:the (?:apache|mit|gnu)|cc) |you may not use this file |"
+    "you may obtain a copy of the license |unless required by applicable law |permission is hereby granted |"
+    "the above copyright notice and this permission notice |the software is provided as is |"
+    "free software you can redistribute it |distributed in the hope that |you should have received a copy of the gnu |"
+    "redistribution and use in source |redistributions (?:of source|in binary) |neither the name of |"
+    "this software is provided by |all rights reserved"
+)
+#: Parts of a line without a letter or digit of any script: spaces, marks of comments, rules.
+BARE = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+#: A sentence ends at a bare line (a blank one, or one of a comment), at . ! ? before white space or the end, unless these
+#: start a line, and where a known one starts. Other line feeds only wrap it; marks of comments go as it is normalised.
+END = (
+    rf"\n(?:{BARE}*+\n)++|(?<![\n.!?])[.!?]+(?=[\x20\x09-\x0D]|$)|"
+    rf"(?<![A-Za-z0-9])(?=(?i:{START.replace('not )', 'not[^a-z0-9])').replace(' ', '[^a-z0-9]++')}))"
+)
 
 
 def normalised(sentence: Column) -> Column:
@@ -71,7 +91,8 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     their order, each on what the ones before it left; their identifiers must
     follow one another. ``licenses`` has every licence found, sorted, once each;
     ``unmatched`` the identifiers that no rule took. Null or empty texts have
-    empty arrays; a repeated row appears as often as it is given.
+    empty arrays; a repeated row appears as often as it is given. Sentences may be
+    wrapped anywhere, also in a comment, and a reference may stand in a longer one.
     """
     split = F.split(F.coalesce(text, F.lit("")), END)
     known = F.filter(F.transform(F.filter(split, lambda s: s.rlike(CUE)), lambda s: _identifier(normalised(s))), lambda x: x.isNotNull())

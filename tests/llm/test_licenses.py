@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 from corpus import docs, empty, rows  # noqa: F401
@@ -66,3 +67,76 @@ def test_table_against_plain_version(spark, sf):
 def test_hard_rows(docs, empty):  # noqa: F811
     assert licenses.digest(docs).count() == len(rows())
     assert licenses.digest(empty).count() == 0
+
+
+GPL = """This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any
+later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty
+of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program{0} if not, write to the Free
+Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."""
+LGPL = GPL.replace("program", "library").replace("GNU General\n", "GNU Lesser General ").replace("GNU General", "GNU Lesser General")
+BSD = """Copyright (c) 2020, The Owner
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+{0}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED."""
+NAME = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+FULL_MIT = """Copyright (c) 2020 The Owner
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED."""
+FULL_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
+IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+NOTICES = [
+    (GPL.format(";"), "GPL", "GplFree,GplHope,GplCopy"),
+    (GPL.format(":"), "GPL", "GplFree,GplHope,GplCopy"),
+    (LGPL.format(";"), "LGPL", "LgplFree,GplHope,LgplCopy"),
+    (BSD.format(""), "BSD-2-Clause", "Rights,BsdGrant,BsdSource,BsdBinary,BsdAsIs"),
+    (BSD.format(NAME), "BSD-3-Clause", "Rights,BsdGrant,BsdSource,BsdBinary,BsdName,BsdAsIs"),
+    (FULL_MIT, "MIT", "MitGrant,MitNotice,MitAsIs"),
+    (FULL_APACHE, "Apache-2.0", "ApacheRef,ApacheUse,ApacheCopy,ApacheAsIs"),
+]
+WITHIN = [
+    ("This project is licensed under the MIT License and comes as it is.", "MIT", "MitRef"),
+    ("A tool\nlicensed under the GNU General Public License, version 3.0, by us", "GPL", "GplRef"),
+    ("Released under the MIT License\nText is licensed under CC BY 4.0\nAll rights\nreserved\nNext", "CC-BY-4.0,MIT", "MitRef,CcByRef,Rights"),
+    ("It is not licensed under the MIT License. Licensed under the Apache License, Version 2.1", "", ""),
+]
+
+
+def wrapped(text, width, mark, line="\n"):
+    """Paragraphs filled again at a width, each line after the mark of a comment; blank lines have the mark alone."""
+    parts = [textwrap.wrap(p, width) for p in text.split("\n\n")]
+    return line.join(mark + x for p in parts for x in [*p, ""])
+
+
+def test_canonical_notices_at_any_width(spark):
+    shapes = [(w, m, e) for w in (20, 40, 72, 79, 2000) for m in ("", "# ", " * ", "! ", "; ") for e in ("\n", "\r\n")]
+    cases = [(wrapped(t, *s), *rest) for t, *rest in NOTICES for s in shapes] + WITHIN
+    frame = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: (r.licenses, r.sentences, r.n_unmatched) for r in licenses.digest(frame).collect()}
+    for i, (text, names, sentences) in enumerate(cases):
+        assert found[i] == (names, sentences, sentences.count("Rights")), text
+        assert found[i] == plain(text)
