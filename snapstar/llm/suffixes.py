@@ -10,14 +10,15 @@ time, and the difference cover says beforehand which of them can tie at all:
    ``WINDOW - PERIOD + 1``. Sorting the samples by these bytes, a bucket at a
    time, ranks them; what matters of a rank is whether another document ties.
 2. The suffixes: one that covers no tied sample is alone, so that only the others
-   are sorted, again a bucket at a time, and the least document of each tie found.
+   are sorted, again a bucket at a time. Those that tie by 64 bits are sorted once
+   more by 64 further ones, and the least document of each tie found.
 3. The cut: each document drops what its later ones of the ties cover.
 
 Text travels in chunks of successive ids, so that a chunk needs to know only
-which of its suffixes an earlier chunk has as well. Long keys are compared by
-hashes: a false tie among the samples costs a little work and nothing else; the
-windows have 64 bits, by which a billion of them tie falsely with a chance of
-about three in a hundred, a hundred million with three in ten thousand.
+which of its suffixes an earlier chunk has as well. Within a chunk windows are
+compared by their bytes, across chunks by two hashes of 64 bits: of m windows,
+some tie falsely with a chance of m^2 / 2^129. A false tie among the samples, or
+by the first hash alone, costs a little work and nothing else.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 CHUNK, BUCKET = 4 << 20, 1 << 20
 KNOTS = 256
 MESSAGE = "chunk long, kind int, bucket long, data binary"
-TEXT, COPY, TIED, EARLIER = 0, 1, 2, 3
+TEXT, COPY, TIED, SHARED, EARLIER = 0, 1, 2, 3, 4
 LAST = np.iinfo(np.int64).max
 
 
@@ -88,6 +89,28 @@ def hashes(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return found ^ found >> np.uint64(32)
 
 
+def checks(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Another 64-bit hash of the windows, of other steps than ``hashes``."""
+    found = np.full(len(at), np.uint64(0x243F6A8885A308D3))
+    for word in reversed(_words(data, at)):
+        word = (word ^ word >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        found = (found ^ word ^ word >> np.uint64(31)) * np.uint64(0xFF51AFD7ED558CCD)
+        found ^= found >> np.uint64(33)
+    found *= np.uint64(0xC4CEB9FE1A85EC53)
+    return found ^ found >> np.uint64(29)
+
+
+def _words(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The bytes of the windows, eight at a time; the last ones overlap."""
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    return [words[at + offset] for offset in [*range(0, WINDOW - 8, 8), WINDOW - 8]]
+
+
+def differ(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the windows at ``a`` and ``b`` differ, by their bytes."""
+    return np.any([x != y for x, y in zip(_words(data, a), _words(data, b), strict=True)], axis=0)
+
+
 def pack(values: np.ndarray) -> bytes:
     """Sorted numbers as compressed differences."""
     steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
@@ -143,15 +166,21 @@ class Chunk:
 
 
 class Suffixes:
-    """Some suffixes of a chunk, sorted by their windows; ``keys`` has each window once."""
+    """Some suffixes of a chunk, sorted by their windows; ``keys`` and ``first`` have each window once."""
 
     def __init__(self, chunk: Chunk, at: np.ndarray):
         self.chunk = chunk
-        found = hashes(chunk.data, at, WINDOW)
-        order = np.argsort(found, kind="stable")
-        found, self.at = found[order], at[order]
+        keys = hashes(chunk.data, at, WINDOW)
+        order = np.argsort(keys, kind="stable")
+        found, self.at = keys[order], at[order]
         new = np.concatenate([[True], found[1:] != found[:-1]]) if len(found) else np.zeros(0, bool)
-        self.keys, self.of = found[new], np.cumsum(new) - 1
+        again = np.flatnonzero(~new)
+        if differ(chunk.data, self.at[again - 1], self.at[again]).any():
+            # Other bytes under the same key: sorted by the bytes too.
+            order = np.lexsort((*_words(chunk.data, at), keys))
+            found, self.at = keys[order], at[order]
+            new[1:] = (found[1:] != found[:-1]) | differ(chunk.data, self.at[:-1], self.at[1:])
+        self.keys, self.of, self.first = found[new], np.cumsum(new) - 1, self.at[new]
         ids = chunk.ids[np.searchsorted(chunk.starts, self.at, "right") - 1]
         # The least id of a window comes first, for the sort is stable and documents are in order.
         self.later = ids > ids[new][self.of] if len(found) else np.zeros(0, bool)
@@ -327,38 +356,81 @@ def _windows(plan: Layout) -> Callable:
     return rows
 
 
-def _least(plan: Layout) -> Callable:
-    """A bucket of suffixes at a time: which keys of a chunk, in order, an earlier chunk has as well."""
+def _shared(plan: Layout) -> Callable:
+    """A bucket of suffixes at a time: which keys of a chunk, in order, are found again."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, held in _runs(batches, "bucket"):
-            held.sort()
             keys = [unpack(message[3]) for message in held]
-            sizes = [len(k) for k in keys]
             key = np.concatenate(keys)
-            order = np.argsort(key, kind="stable")  # equal keys stay in the order of their chunks
-            again = np.concatenate([[False], key[order][1:] == key[order][:-1]])
+            order = np.argsort(key, kind="stable")
+            same = np.concatenate([[False], key[order][1:] == key[order][:-1], [False]])
+            shared = np.empty(len(key), bool)
+            shared[order] = same[1:] | same[:-1]
+            yield _answers(held, SHARED, bucket, keys, shared)
+
+    return rows
+
+
+def _checks(plan: Layout) -> Callable:
+    """Chunks to messages: the shared windows of each by bucket, with both hashes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c, held in _runs(batches, "chunk"):
+            _, suffixes, rest = _read(held, plan)
+            shared = _known(rest, SHARED, suffixes.keys, plan)
+            keys, check = suffixes.keys[shared], checks(suffixes.chunk.data, suffixes.first[shared])
+            yield _messages([(c, 0, bucket, (b - a).to_bytes(8, "little") + check[a:b].tobytes() + pack(keys[a:b])) for bucket, a, b in _buckets(keys, 64, plan)])
+
+    return rows
+
+
+def _least(plan: Layout) -> Callable:
+    """A bucket of shared suffixes at a time: which of a chunk, in order, an earlier chunk has as well."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, held in _runs(batches, "bucket"):
+            held.sort()
+            both = [_pair(message[3]) for message in held]
+            key, check = (np.concatenate(x) for x in zip(*both, strict=True))
+            order = np.lexsort((check, key))  # equal ones stay in the order of their chunks
+            key, check = key[order], check[order]
             earlier = np.empty(len(key), bool)
-            earlier[order] = again
-            parts = np.split(earlier, np.cumsum(sizes)[:-1])
-            yield _messages(
-                [(m[0], EARLIER, bucket, zstandard.compress(np.packbits(p).tobytes(), 1)) for m, p in zip(held, parts, strict=True)]
-            )
+            earlier[order] = np.concatenate([[False], (key[1:] == key[:-1]) & (check[1:] == check[:-1])])
+            yield _answers(held, EARLIER, bucket, [k for k, _ in both], earlier)
 
     return rows
 
 
+def _pair(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    return unpack(data[8 + 8 * n :]), np.frombuffer(data, "<u8", n, 8)
+
+
+def _answers(held: list[tuple[int, int, int, bytes]], kind: int, bucket: int, keys: list[np.ndarray], bits: np.ndarray) -> pa.RecordBatch:
+    """A bit for each key of each message, to the chunk that sent it."""
+    parts = np.split(bits, np.cumsum([len(k) for k in keys])[:-1])
+    return _messages([(m[0], kind, bucket, zstandard.compress(np.packbits(p).tobytes(), 1)) for m, p in zip(held, parts, strict=True)])
+
+
+def _known(rest: list[tuple[int, int, int, bytes]], kind: int, keys: np.ndarray, plan: Layout) -> np.ndarray:
+    """The bits that came back for sorted keys."""
+    known = {message[2]: message[3] for message in rest if message[1] == kind}
+    found = np.zeros(len(keys), bool)
+    for bucket, a, b in _buckets(keys, 64, plan):
+        bits = np.frombuffer(zstandard.decompress(known[bucket]), np.uint8)
+        found[a:b] = np.unpackbits(bits, count=b - a)
+    return found
+
+
 def _cut(plan: Layout) -> Callable:
     """Chunks to results: id, n_bytes, n_removed, n_spans, kept_sha256, and the spans as flat (start, end) bytes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in _runs(batches, "chunk"):
             chunk, suffixes, rest = _read(held, plan)
-            earlier = np.zeros(len(suffixes.keys), bool)
-            known = {bucket: data for _, _, bucket, data in rest}
-            for bucket, a, b in _buckets(suffixes.keys, 64, plan):
-                bits = np.frombuffer(zstandard.decompress(known[bucket]), np.uint8)
-                earlier[a:b] = np.unpackbits(bits, count=b - a)
+            earlier = _known(rest, SHARED, suffixes.keys, plan)
+            earlier[earlier] = _known(rest, EARLIER, suffixes.keys[earlier], plan)
             gone = suffixes.covered(earlier)
             out = []
             for id, a, b in zip(chunk.ids.tolist(), chunk.starts[:-1].tolist(), chunk.starts[1:].tolist(), strict=True):
@@ -403,7 +475,10 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", chunk: int
     released(spark)
     texts = rows.mapInArrow(_texts(plan), MESSAGE).unionByName(again.mapInArrow(_copies(plan), MESSAGE)).unionByName(tied)
     windows = _dealt(texts, "chunk").mapInArrow(_windows(plan), MESSAGE)
-    earlier = stored(_dealt(windows, "bucket").mapInArrow(_least(plan), MESSAGE), "suffix-earlier")
+    texts = texts.unionByName(stored(_dealt(windows, "bucket").mapInArrow(_shared(plan), MESSAGE), "suffix-shared"))
+    released(spark)
+    again = _dealt(texts, "chunk").mapInArrow(_checks(plan), MESSAGE)
+    earlier = stored(_dealt(again, "bucket").mapInArrow(_least(plan), MESSAGE), "suffix-earlier")
     released(spark)
     found = _dealt(texts.unionByName(earlier), "chunk").mapInArrow(_cut(plan), RESULT)
     all_of_it = F.col("n") >= WINDOW

@@ -83,3 +83,31 @@ def test_spans_are_what_is_removed(spark):
     frame = spark.createDataFrame([(1, "aa" + shared), (2, "bbb" + shared + "cc" + shared)], "doc_id int, text string")
     found = {r.doc_id: r.spans for r in suffixes.repeats(frame).collect()}
     assert found == {1: [], 2: [3, 123, 125, 245]}
+
+
+def colliding():
+    """Two strings of 50 letters and signs with one 64-bit key: the second word makes good what the first one changes."""
+    rand, multiplier = random.Random(1), 0x9E3779B97F4A7C15
+    one = "".join(rand.choices("abcdefgh", k=50)).encode()
+
+    def state(word):
+        found = (50 ^ int.from_bytes(word, "little")) * multiplier % 2**64
+        return found ^ found >> 29
+
+    while True:
+        first = "".join(rand.choices("abcdefgh", k=8)).encode()
+        second = (int.from_bytes(one[8:16], "little") ^ state(one[:8]) ^ state(first)).to_bytes(8, "little")
+        if all(32 <= b < 127 for b in second) and first != one[:8]:
+            return one.decode(), (first + second + one[16:]).decode()
+
+
+@pytest.mark.parametrize("chunk", [30, 1 << 20])
+def test_equal_keys_of_other_bytes(spark, chunk):
+    one, other = colliding()
+    data = np.frombuffer((one + other).encode() + bytes(50), np.uint8)
+    key = suffixes.hashes(data, np.array([0, 50]), 50)
+    assert key[0] == key[1] and len(set(suffixes.checks(data, np.array([0, 50])).tolist())) == 2
+    given = [(1, one), (2, other), (3, other + "x"), (4, "y" * 31 + one)]
+    frame = spark.createDataFrame(given, "doc_id long, text string")
+    found = found_in(frame, chunk=chunk)
+    assert found == plain(given) and [r[2] for r in found] == [0, 0, 50, 50]
