@@ -21,10 +21,12 @@ SALTS = 32
 #: The statistics that are compared, and the least standard deviation of each: what is alike in all documents of a
 #: group says nothing about one of them.
 STATISTICS = {"word_length": 0.06, "symbols": 0.25, "dup_lines": 0.35, "repeats": 0.35}
-#: Squared distance up to which a document is kept: the chi-square quantile of 1 - 1e-9 for four statistics.
-CUTOFF = 47.7
-#: The median of chi-square with four degrees of freedom.
-MEDIAN = 3.357
+#: What documents are judged by: also words that follow themselves, which no window of ``WINDOW`` words need show.
+JUDGED = {**STATISTICS, "doubled": 0.15}
+#: Squared distance up to which a document is kept: the chi-square quantile of 1 - 1e-6 for the five of ``JUDGED``.
+CUTOFF = 35.89
+#: The medians of chi-square with four and five degrees of freedom.
+MEDIAN, MEDIANS = 3.357, {4: 3.357, 5: 4.351}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -66,7 +68,13 @@ def statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
     row = docs.select(
         *keep,
         let(
-            words, lambda w: F.struct(F.size(w).alias("n"), F.length(F.array_join(w, "")).alias("c"), _repeated(w).alias("r"))
+            words,
+            lambda w: F.struct(
+                F.size(w).alias("n"),
+                F.length(F.array_join(w, "")).alias("c"),
+                _repeated(w).alias("r"),
+                F.size(F.filter(w, lambda x, i: x == F.get(w, i + 1))).alias("d"),
+            ),
         ).alias("_w"),
         F.regexp_count(whole, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"))).alias("_l"),
@@ -80,6 +88,7 @@ def statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
         F.col("_l.dup").cast("long").alias("n_dup_lines"),
         F.col("_w.r").cast("long").alias("n_repeat_words"),
         F.col("_l.n").cast("long").alias("n_lines"),
+        F.col("_w.d").cast("long").alias("n_doubled"),
     ).withColumn("base_failed", failed)
 
 
@@ -91,6 +100,7 @@ def transformed() -> dict[str, Column]:
         "symbols": F.log1p(100 * F.col("n_symbols") / (n + 30)),
         "dup_lines": F.log1p(20 * F.col("n_dup_lines") / (F.col("n_lines") + 10.0)),
         "repeats": F.log1p(20 * F.col("n_repeat_words") / (n + 30)),
+        "doubled": F.log1p(20 * F.col("n_doubled") / (n + 30)),
     }
 
 
@@ -99,13 +109,14 @@ def _moments(names: list[str]) -> list[Column]:
     return [F.avg(a).alias(f"m_{a}") for a in names] + [F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs]
 
 
-def _factor(names: list[str]) -> list[Column]:
+def _factor(least: dict[str, float]) -> list[Column]:
     """The Cholesky factor of the covariances, with the least deviations added to their diagonal."""
+    names = list(least)
     found: dict[tuple[str, str], Column] = {}
     for i, a in enumerate(names):
         for j, b in enumerate(names[: i + 1]):
             rest = F.col(f"c_{a}_{b}") - sum((found[a, k] * found[b, k] for k in names[:j]), F.lit(0.0))
-            found[a, b] = F.sqrt(rest + STATISTICS[a] ** 2) if a == b else rest / found[b, b]
+            found[a, b] = F.sqrt(rest + least[a] ** 2) if a == b else rest / found[b, b]
     return [value.alias(f"l_{a}_{b}") for (a, b), value in found.items()]
 
 
@@ -128,8 +139,8 @@ def _beside(rows: DataFrame, values: DataFrame, group: str) -> DataFrame:
     return rows.join(values.withColumn("_salt", F.explode(salts)), [group, "_salt"])
 
 
-def distances(rows: DataFrame, group: str = "group") -> DataFrame:
-    """``rows`` (with the columns of ``STATISTICS``) and ``distance``, squared, from their group's robust centre.
+def distances(rows: DataFrame, group: str = "group", least: dict[str, float] = STATISTICS) -> DataFrame:
+    """``rows`` (with the columns of ``least``) and ``distance``, squared, from their group's robust centre.
 
     Medians and median deviations give a first centre. Then each concentration
     step takes the ``SUBSET`` of a group that lies nearest and finds its mean and
@@ -138,7 +149,7 @@ def distances(rows: DataFrame, group: str = "group") -> DataFrame:
     steps are aggregations with a row for each group, written to the shared
     folder; the rows themselves never gather.
     """
-    names = list(STATISTICS)
+    names = list(least)
     given, rows = rows.columns, rows.withColumn("_salt", _salt(rows.columns))
     middle = stored(rows.groupBy(group).agg(*[F.percentile_approx(a, 0.5, 10_000).alias(f"m_{a}") for a in names]), "mcd")
     off = [F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5, 10_000).alias(f"s_{a}") for a in names]
@@ -149,14 +160,14 @@ def distances(rows: DataFrame, group: str = "group") -> DataFrame:
         for b in names[: i + 1]
     ]
     first = middle.join(spread, group).select(group, *[f"m_{a}" for a in names], *diagonal)
-    centre = stored(first.select(group, *[f"m_{a}" for a in names], *_factor(names)), "mcd")
+    centre = stored(first.select(group, *[f"m_{a}" for a in names], *_factor(least)), "mcd")
     for _ in range(STEPS):
         far = _beside(rows, centre, group).select(group, "_salt", *names, _distance(names).alias("_d"))
         cut = far.groupBy(group).agg(F.percentile_approx("_d", SUBSET, 10_000).alias("_cut"))
         near = _beside(far, cut, group).filter("_d <= _cut").groupBy(group).agg(*_moments(names))
-        centre = stored(near.select(group, *[f"m_{a}" for a in names], *_factor(names)), "mcd")
+        centre = stored(near.select(group, *[f"m_{a}" for a in names], *_factor(least)), "mcd")
     far = _beside(rows, centre, group).withColumn("_d", _distance(names))
-    scale = stored(far.groupBy(group).agg(F.greatest(F.lit(1.0), F.percentile_approx("_d", 0.5, 10_000) / MEDIAN).alias("_scale")), "mcd")
+    scale = stored(far.groupBy(group).agg(F.greatest(F.lit(1.0), F.percentile_approx("_d", 0.5, 10_000) / MEDIANS[len(names)]).alias("_scale")), "mcd")
     return _beside(far, scale, group).select(*given, (F.col("_d") / F.col("_scale")).alias("distance"))
 
 
@@ -179,7 +190,7 @@ def judge(docs: DataFrame, keep: list[str] | None = None, text: str = "text", la
     counts = stored(passed.groupBy("_group").agg((F.count("*") >= LEAST_ROWS).alias("_own")), "mcd")
     rows = _beside(passed, counts, "_group").withColumn("group", F.when(F.col("_own"), F.col("_group")).otherwise(F.lit("")))
     rows = rows.select(*[c for c in base.columns if c != "_group"], "group", *[v.alias(k) for k, v in transformed().items()])
-    found = distances(stored(rows, "mcd-rows"))
+    found = distances(stored(rows, "mcd-rows"), least=JUDGED)
     columns = [F.col(n).alias(c) for n, c in zip(names, keep, strict=True)]
     columns += ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     bad = base.filter("base_failed").select(*columns, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))

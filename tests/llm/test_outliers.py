@@ -109,3 +109,12 @@ def test_plan_is_native(docs):  # noqa: F811
 
     plan = plan_of(outliers.statistics(docs, ["doc_id"]))
     assert "Python" not in plan and "Arrow" not in plan and "Exchange RoundRobin" not in plan.replace("RoundRobinPartitioning(3)", "")
+
+
+def test_labels_of_the_larger_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    found = outliers.digest(table).select("doc_id", "base_failed", "kept").collect()
+    clean = [r.doc_id for r in found if labels.get(r.doc_id) == 1 and not r.base_failed and not r.kept]
+    junk = [r.doc_id for r in found if labels.get(r.doc_id) == 0 and r.kept]
+    assert (clean, junk) == ([], [])
