@@ -133,3 +133,11 @@ def test_plan_is_native(docs):  # noqa: F811
     for frame in (pii.candidates(docs), pii.digest(docs)):
         plan = plan_of(frame)
         assert "Python" not in plan and "MapInArrow" not in plan and "Join" not in plan
+
+
+def test_long_secrets(spark):
+    """A key of more than 128 letters and digits is found whole."""
+    keys = ["sk_" + "aB3dE6gH9" * k for k in (10, 14, 15, 40)] + ["x1" * 100_000]
+    frame = spark.createDataFrame([(i, f"the token is {k}, keep it") for i, k in enumerate(keys)], "doc_id long, text string")
+    found = {r.doc_id: [s.hit for s in r.found] for r in frame.select("doc_id", pii.matches(F.col("text"), "key").alias("found")).collect()}
+    assert found == {i: [k] for i, k in enumerate(keys)}
