@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.llm import fingerprints, language, licenses, mixing, outliers, packing, pii, simhash, suffixes, token_counts
+from snapstar.llm import fingerprints, language, lexical, licenses, mixing, outliers, packing, pii, simhash, suffixes, token_counts
 from snapstar.llm.common import documents
 
 
@@ -50,6 +50,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(spark, documents(spark, sf_dir))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -63,6 +67,7 @@ QUERIES = {
         op8_pii,
         op9_suffixes,
         op10_token_counts,
+        op11_lexical,
     )
 }
-ORACLES = {"op6_mixing": mixing.SQL}
+ORACLES = {"op6_mixing": mixing.SQL, "op11_lexical": lexical.SQL}
