@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.llm import fingerprints, language, lexical, licenses, mixing, outliers, packing, pii, simhash, suffixes, token_counts
+from snapstar.llm import divergence, fingerprints, language, lexical, licenses, mixing, outliers, packing, pii, simhash, suffixes, token_counts
 from snapstar.llm.common import documents
 
 
@@ -54,6 +54,10 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,6 +72,7 @@ QUERIES = {
         op9_suffixes,
         op10_token_counts,
         op11_lexical,
+        op12_divergence,
     )
 }
-ORACLES = {"op6_mixing": mixing.SQL, "op11_lexical": lexical.SQL}
+ORACLES = {"op6_mixing": mixing.SQL, "op11_lexical": lexical.SQL, "op12_divergence": divergence.SQL}
