@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.llm import divergence, fingerprints, language, lexical, licenses, mixing, outliers, packing, pii, simhash, suffixes, token_counts
+from snapstar.llm import divergence, fingerprints, language, lexical, licenses, mixing, outliers, packing, pii, secret_scan, simhash, suffixes, token_counts
 from snapstar.llm.common import documents
 
 
@@ -58,6 +58,10 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,6 +77,7 @@ QUERIES = {
         op10_token_counts,
         op11_lexical,
         op12_divergence,
+        op13_secrets,
     )
 }
 ORACLES = {"op6_mixing": mixing.SQL, "op11_lexical": lexical.SQL, "op12_divergence": divergence.SQL}
