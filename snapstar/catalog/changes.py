@@ -142,6 +142,29 @@ def land_odd_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, RAW_DDL).select("movie_id", text, "snapshot_date")
 
 
+@query(
+    "land_new_files",
+    f"""
+select c_custkey as movie_id, '{{"id": ' || c_custkey || '}}' as raw_json, date '{FIRST_DAY}' as snapshot_date from customer
+where c_custkey % 2 = 0
+union all select c_custkey, '{{"new": ' || c_custkey || '}}', date '{FIRST_DAY}' from customer where c_custkey % 2 = 1
+""",
+)
+def land_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the files first; then all are there, with new texts, and only the absent ones are landed."""
+    path = scratch(spark, "landed")
+    for half, field in (("c_custkey % 2 = 0", "id"), ("true", "new")):
+        rows = table(spark, sf_dir, "customer").filter(half).select(
+            F.concat(F.lit(f'{{"{field}": '), "c_custkey", F.lit("}")).alias("value"),
+            F.lit(f"snapshot_date={FIRST_DAY}").alias("folder"),
+            F.concat(F.lit("movie_id="), "c_custkey", F.lit(".json")).alias("name"),
+        )
+        files = write_files(rows, scratch(spark, "files") if field == "id" else files)
+        land_files(spark, files, path, FIRST_DAY)
+    text = F.regexp_replace("raw_json", "\n$", "").alias("raw_json")
+    return read_table(spark, path, RAW_DDL).select("movie_id", text, "snapshot_date")
+
+
 # --- the fact ----------------------------------------------------------------------
 FACT = SILVER_SQL["fact_movie_daily_snapshot"]
 

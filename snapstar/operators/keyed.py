@@ -52,13 +52,18 @@ def upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     one by all columns. The target's rows of a key tie, so that all stay where
     the delta has none. A target that is merged into has each key once.
     """
+    return upsert_marked(target, delta, keys).select(*target.columns)
+
+
+def upsert_marked(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """``upsert`` with a column ``_new``, true in the rows of the delta."""
     new = F.col("_new")
     both = target.withColumn("_new", F.lit(False)).unionByName(delta.withColumn("_new", F.lit(True)))
     others = [c for c in target.columns if c not in keys]
     both = both.withColumn("_ties", F.when(new, F.struct(*others))).withColumn("_alone", ~all_present(keys) & new)
     window = Window.partitionBy(*keys, "_alone").orderBy(new.desc(), "_ties")
     ranked = both.select("*", F.rank().over(window).alias("_rank"), F.row_number().over(window).alias("_row"))
-    return ranked.filter((F.col("_rank") == 1) & (~new | (F.col("_row") == 1))).select(*target.columns)
+    return ranked.filter((F.col("_rank") == 1) & (~new | (F.col("_row") == 1))).select(*target.columns, "_new")
 
 
 def insert_absent(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:

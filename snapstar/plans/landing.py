@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from snapstar.functions.columns import Day
+from snapstar.functions.columns import Day, run_date
 from snapstar.operators.incremental import rows_of_same_days
 from snapstar.operators.keyed import insert_absent
 from snapstar.plans.marts import merge_days
 from snapstar.schemas import RAW_DDL
-from snapstar.sinks.write import append_days, balanced
-from snapstar.sources.raw import file_paths, read_raw_files, read_some_files
-from snapstar.sources.tables import one_day, read_or_empty
+from snapstar.session import stored, workspace
+from snapstar.sinks.write import DAY, append_days, balanced, replace_days
+from snapstar.sources.raw import file_paths, read_raw_files, slice_of
+from snapstar.sources.tables import one_day, partition_values, read_or_empty, read_table
 
 #: What makes a document: its path. The id in it may be anything, and is null in the table if it is no number.
 PATH_KEYS = ["source_file", "snapshot_date"]
+FILE_COLUMNS = ["movie_id", "raw_json", "source_file", "snapshot_date"]
+#: Bytes of text that a file of the raw table is to have.
+FILE_BYTES = 128 << 20
 
 
 def absent_documents(spark: SparkSession, incoming: DataFrame, landed_path: str, day: Day = None) -> DataFrame:
@@ -38,29 +42,55 @@ def land(
     files. Those of one ``day`` are written as the join left them.
     """
     if replace:
-        merge_days(spark, incoming, landed_path, RAW_DDL, PATH_KEYS, day)
-        return incoming.select(*PATH_KEYS).distinct().count()
+        return merge_days(spark, incoming, landed_path, RAW_DDL, PATH_KEYS, day)
     absent = absent_documents(spark, incoming, landed_path, day)
     return _add(balanced(absent) if day is None else absent, landed_path)
 
 
 def absent_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day) -> DataFrame:
-    """The day's files that were not landed yet, (path, source_file). No text is read for that, so none is shuffled."""
+    """The day's files that were not landed yet, (source_file, length). No file is opened for that."""
     landed = one_day(read_or_empty(spark, landed_path, RAW_DDL), day).select("source_file")
     return file_paths(spark, raw_root, day).join(landed, "source_file", "left_anti")
 
 
 def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *, replace: bool = False) -> int:
-    """Land one day's files in the raw table, whose few large files replace the many small ones.
-
-    Paths are unique, so that documents are read and written without a shuffle of
-    their text. The paths of new files come to the driver, which lists the day's
-    files for the scan anyway. Returns how many this run landed.
+    """Land one day's files in the raw table, whose few large files replace the many small ones. Returns how many.
+
+    A first run reads the day's folder as it is. Later, the paths that are absent
+    are a table of their own, and only files in a slice with such a path are
+    opened; to the driver come the numbers of these slices. Texts are shuffled only
+    where Spark finds both the absent and the other files too many to broadcast
+    their paths. With ``replace`` each file takes the place of its landed document,
+    and documents whose file is gone stay; texts are neither ranked nor read twice.
     """
-    if replace:
-        return land(spark, read_raw_files(spark, raw_root, day), landed_path, replace=True, day=day)
-    paths = [r.path for r in absent_files(spark, raw_root, landed_path, day).select("path").collect()]
-    return _add(read_some_files(spark, paths), landed_path) if paths else 0
+    if str(run_date(day)) not in partition_values(spark, landed_path, DAY):
+        return _add(_large(read_raw_files(spark, raw_root, day), file_paths(spark, raw_root, day)), landed_path)
+    with workspace(spark):
+        if replace:
+            return _replace_files(spark, raw_root, landed_path, day)
+        absent = stored(absent_files(spark, raw_root, landed_path, day), "absent-files")
+        slices = [r[0] for r in absent.select(slice_of("source_file")).distinct().collect()]
+        files = read_raw_files(spark, raw_root, day, slices).join(absent, "source_file", "left_semi")
+        return _add(_large(files.select(*FILE_COLUMNS), absent), landed_path) if slices else 0
+
+
+def _replace_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day) -> int:
+    landed = one_day(read_table(spark, landed_path, RAW_DDL), day)
+    there = file_paths(spark, raw_root, day)
+    gone = stored(landed.select("source_file").join(there, "source_file", "left_anti").distinct(), "gone-files")
+    seen, files = Observation(), read_raw_files(spark, raw_root, day).select(*FILE_COLUMNS)
+    rows = _large(files, there).observe(seen, F.count("*").alias("n"))
+    if not gone.isEmpty():
+        same = landed["source_file"].eqNullSafe(gone["source_file"])
+        rows = rows.unionByName(landed.join(gone, same, "left_semi"))
+    replace_days(rows, landed_path)
+    return seen.get["n"]
+
+
+def _large(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """The rows of small files in fewer tasks, and so larger files, without a shuffle; every core keeps some to open."""
+    total = files.agg(F.sum("length")).first()[0] or 0
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // FILE_BYTES)))
 
 
 def _add(rows: DataFrame, landed_path: str) -> int:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.functions.columns import Day, all_present
 from snapstar.operators.incremental import rows_of_same_days
-from snapstar.operators.keyed import latest_per_key, one_per_key, supersede, upsert
+from snapstar.operators.keyed import latest_per_key, one_per_key, supersede, upsert_marked
 from snapstar.plans.silver import most_popular
 from snapstar.schemas import (
     BRIDGE_CAST_COLUMNS,
@@ -140,14 +140,20 @@ def advance_fact(
 
 def merge_days(
     spark: SparkSession, delta: DataFrame, path: str, ddl: str, keys: list[str] = DOCUMENT_KEYS, day: Day = None
-) -> None:
-    """Merge rows into a table partitioned by day; rewrites only the days they touch, which is ``day`` if it is given."""
-    target = read_if_exists(spark, path, ddl)
+) -> int:
+    """Merge rows into a table partitioned by day; rewrites only the days they touch, which is ``day`` if it is given.
+
+    Returns how many rows of the delta the table has now, counted as they are written.
+    """
+    seen, target = Observation(), read_if_exists(spark, path, ddl)
     if target is None:
-        overwrite(balanced(one_per_key(delta, keys)), path, by=DAY)
-        return
+        rows = one_per_key(delta, keys).observe(seen, F.count("*").alias("n"))
+        overwrite(balanced(rows), path, by=DAY)
+        return seen.get["n"]
     touched = rows_of_same_days(target, delta) if day is None else one_day(target, day)
-    replace_days(balanced(upsert(touched, delta, keys).select(*target.columns)), path)
+    merged = upsert_marked(touched, delta, keys).observe(seen, F.count_if("_new").alias("n"))
+    replace_days(balanced(merged.select(*target.columns)), path)
+    return seen.get["n"]
 
 
 # --- later days on top of a finished table -----------------------------------------------------

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +35,37 @@ def scratch(spark: SparkSession, name: str) -> str:
     same in every mode.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (owned := _owned.get()) is not None:
+        owned.append(path)
+    return path
+
+
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Paths that ``scratch`` gives out within are removed at the end, also after a failure.
+
+    What is to stay must be written before, to a path from outside; a lazy result
+    that reads such a path cannot be used afterwards. Workspaces nest: each removes
+    its own paths. A thread started within has none.
+    """
+    own: list[str] = []
+    token = _owned.set(own)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in own:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there, by the file system of its path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:

@@ -2,36 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.functions.columns import Day, day_from_path, day_literal
 
 FILES = "movie_id=*.json"
+#: Files are dealt to so many slices by a hash of their path.
+SLICES = 4096
 
 
-def read_raw_files(spark: SparkSession, root: str, day: Day = None) -> DataFrame:
+def slice_of(path: Column | str) -> Column:
+    return F.pmod(F.xxhash64(path), F.lit(SLICES))
+
+
+def read_raw_files(spark: SparkSession, root: str, day: Day = None, slices: list[int] | None = None) -> DataFrame:
     """One row per file under ``root/snapshot_date=D/movie_id=*.json``.
 
     Without a day, all days are read. The path gives the day and the id; an id
     that is no number is null. The scan has one root path, the day's folder or
-    ``root``, and names are filtered as the folder is listed.
+    ``root``, and names are filtered as the folder is listed. Of other ``slices``
+    than those given no file is opened: a filter on a file's path alone is applied
+    to the listing.
     """
     folder = f"{root}/snapshot_date={day}" if day else root
     files = spark.read.option("pathGlobFilter", FILES).text(folder, wholetext=True)
+    if slices is not None:
+        files = files.filter(slice_of("_metadata.file_path").isin(slices))
     return documents(files.select(F.col("value").alias("raw_json"), F.col("_metadata.file_path").alias("source_file")))
 
 
 def file_paths(spark: SparkSession, root: str, day: Day) -> DataFrame:
-    """The day's files, (path, source_file): how to open each, and its name as ``read_raw_files`` gives it."""
+    """The day's files, (source_file, length): the name as ``read_raw_files`` gives it, and the bytes. None is opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", FILES).load(f"{root}/snapshot_date={day}")
-    return files.select("path", F.col("_metadata.file_path").alias("source_file"))
-
-
-def read_some_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The same rows for just these files."""
-    files = spark.read.text(paths, wholetext=True)
-    return documents(files.select(F.col("value").alias("raw_json"), F.col("_metadata.file_path").alias("source_file")))
+    return files.select(F.col("_metadata.file_path").alias("source_file"), "length")
 
 
 def documents(files: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from snapstar.functions.columns import Day, day_literal
 from snapstar.schemas import SOURCES
+from snapstar.session import remove  # noqa: F401 (a table's folder is removed like any other)
 
 
 def read_table(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
@@ -50,11 +51,6 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(v for v in values if not v.startswith("__"))
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    folder, files = _folder(spark, path)
-    files.delete(folder, True)
-
-
 def one_day(rows: DataFrame, day: Day = None) -> DataFrame:
     """The rows of one day; on a table partitioned by day only its files are read."""
     return rows.filter(F.col("snapshot_date") == day_literal(day))

@@ -1,6 +1,7 @@
 """Staging, marts, the fact, landing and states that are carried on."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from conftest import plan_of, rows_of
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from snapstar.plans import marts
 from snapstar.plans.carry import carry
 from snapstar.plans.landing import absent_files, land, land_files
+from snapstar.session import scratch, workspace
+from snapstar.session import stored as kept_aside
+from snapstar.sources.raw import read_raw_files, slice_of
 from snapstar.plans.marts import FACT_DDL, advance_fact, merge_days
 from snapstar.schemas import RAW_DDL, STAGING, names
 from snapstar.sinks.write import replace_day
@@ -99,11 +103,60 @@ def test_landing_files(spark, tmp_path):
     assert rows_of(read_table(spark, f"{tmp_path}/raw", RAW_DDL), "movie_id", "raw_json") == sorted(
         expected, key=lambda r: (r[0] is not None, r[1])
     )
+    (folder / "movie_id=x2.json").unlink()
+    land(spark, raw(spark, (None, "no path", "2026-04-08")).withColumn("source_file", F.lit(None).cast("string")), given[1], day=given[2])
+    assert land_files(spark, *given, replace=True) == 3
+    found = rows_of(read_table(spark, f"{tmp_path}/raw", RAW_DDL), "movie_id", "raw_json")
+    assert found == sorted([*expected, (None, "no path")], key=lambda r: (r[0] is not None, r[1]))
     assert "raw_json" not in plan_of(absent_files(spark, *given))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         land_files(spark, f"{tmp_path}/files", f"{tmp_path}/raw", "2026-04-09")
 
 
+def opened(df):
+    """How many files a scan has opened, once it ran."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.getClass().getSimpleName() else plan
+    return plan.collectLeaves().apply(0).metrics().apply("numFiles").value()
+
+
+def test_only_new_files_are_opened(spark, tmp_path):
+    """The next run opens the files that share a slice with a new one, and keeps nothing in the scratch folder."""
+    folder = tmp_path / "files" / "snapshot_date=2026-04-08"
+    folder.mkdir(parents=True)
+    for i in range(400):
+        (folder / f"movie_id={i}.json").write_text(f'{{"id": {i}}}')
+    given = f"{tmp_path}/files", f"{tmp_path}/raw", "2026-04-08"
+    assert land_files(spark, *given) == 400
+    assert len(list((tmp_path / "raw").rglob("part-*.parquet"))) <= spark.sparkContext.defaultParallelism
+    (folder / "movie_id=1000.json").write_text("{}")
+    (folder / "movie_id=1001.json").write_text("{}")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = sorted(shared.iterdir())
+    slices = [r[0] for r in absent_files(spark, *given).select(slice_of("source_file")).collect()]
+    files = read_raw_files(spark, given[0], given[2], slices)
+    assert len(files.collect()) == opened(files) < 20
+    assert land_files(spark, *given) == 2 and land_files(spark, *given) == 0
+    assert read_table(spark, given[1], RAW_DDL).count() == 402
+    assert sorted(shared.iterdir()) == before
+
+
+def test_workspace(spark):
+    df = spark.range(3)
+    outer = scratch(spark, "outer")
+    with pytest.raises(ValueError), workspace(spark):
+        kept_aside(df, "one")
+        with workspace(spark):
+            inner = kept_aside(df, "two").inputFiles()[0]
+        assert not Path(inner.removeprefix("file://")).exists()
+        found = kept_aside(df, "three").inputFiles()[0]
+        assert Path(found.removeprefix("file://")).exists()
+        df.write.parquet(outer)
+        raise ValueError
+    assert not Path(found.removeprefix("file://")).exists() and spark.read.parquet(outer).count() == 3
+    assert kept_aside(df, "four").count() == 3
+
+
 CREDIT = "movie_id bigint, person_id bigint, character string, cast_order bigint, credit_id string, day int"
 
 
