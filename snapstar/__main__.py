@@ -39,8 +39,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     universe.add_argument("--last", help="last release day of a backfill")
     universe.add_argument("--raw", help="the raw table, to count what was landed")
     job("checks", "run the declared checks", "root", "database")
-    job("publish", "publish a day of the silver tables", "root", "database")
+    published = job("publish", "publish a day of the silver tables", "root", "database")
     marts = job("marts", "model the published tables", "root", "database")
+    marts.add_argument("--select", help="models to build: names, with + before or after them for what they read or what reads them")
+    day.add_argument("--resume", action="store_true", help="go on from the steps that a failed run has finished")
+    day.add_argument("--attempts", type=int, default=1, help="how often a step is tried")
+    for command in (day, published):
+        command.add_argument("--link", action="store_true", help="publish the silver folders themselves, without a copy")
     for command in (day, marts):
         command.add_argument("--full-refresh", action="store_true", help="make the fact anew from all days")
     for command in (day, parse, silver):
@@ -51,9 +56,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     """Run the job; some return a report."""
     if args.job == "day":
-        return run_day(
-            spark, args.files, args.root, args.database, args.date, mode=args.mode, full_refresh=args.full_refresh
-        )
+        options = {name: getattr(args, name) for name in ("mode", "full_refresh", "link", "resume", "attempts")}
+        return run_day(spark, args.files, args.root, args.database, args.date, **options)
     if args.job == "parse":
         parse_raw(spark, args.files, args.parsed, args.date, args.mode)
     elif args.job == "silver":
@@ -62,9 +66,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
         landed = land_files(spark, args.files, args.raw, args.date, replace=args.replace)
         return spark.createDataFrame([(args.date, landed)], "snapshot_date string, landed bigint")
     elif args.job == "publish":
-        return run_publish(spark, args.root, args.database, args.date)
+        return run_publish(spark, args.root, args.database, args.date, link=args.link)
     elif args.job == "marts":
-        run_marts(spark, args.root, args.database, args.date, full_refresh=args.full_refresh)
+        run_marts(spark, args.root, args.database, args.date, full_refresh=args.full_refresh, choice=args.select)
     elif args.job == "universe":
         window = (args.first, args.last) if args.first and args.last else None
         return update_universe(spark, args.pages, args.state, args.date, window=window, landed_path=args.raw)

@@ -9,18 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstar.catalog.base import query, register
-from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, day, raw_films, table
+from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, day, films, raw_films, table
 from snapstar.catalog.silver import MART_SQL, SILVER_SQL, STAGING_SQL
 from snapstar.operators.quality import check_report, duplicate_keys, null_rows
-from snapstar.plans.daily import read_marts, run_after_landing, run_checks
-from snapstar.schemas import HISTORY_TABLES, SILVER_TABLES
+from snapstar.plans.daily import build_marts, read_marts, run_after_landing, run_checks
+from snapstar.plans.ledger import Ledger
+from snapstar.plans.marts import create_views
+from snapstar.plans.models import MODELS
+from snapstar.plans.silver import silver_table
+from snapstar.schemas import HISTORY_TABLES, SILVER_TABLES, SOURCES
 from snapstar.session import scratch
 from snapstar.sinks.publish import publish
-from snapstar.sinks.write import append_days, balanced
+from snapstar.sinks.write import append, append_days, balanced, replace_days
+from snapstar.sources.tables import partition_values, read_if_exists, read_table
 
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
 
 
+def _counts(tables: dict[str, str]) -> str:
+    counts = [f"select '{name}' as name, count(*) as n from ({sql}) t" for name, sql in tables.items()]
+    return " union all ".join(counts)
+
+
 def _database() -> str:
     return f"snapstar_{uuid.uuid4().hex}"
 
@@ -51,6 +61,119 @@ def publish_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.select("table_name", "status", "num_rows")
 
 
+# --- loads that fail, links and views -------------------------------------------------
+def _after_failures(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Orders, published; then a load whose rows fail a check, one that breaks off, and one that passes its checks."""
+    database, location = _database(), scratch(spark, "published")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    checks = "orders o_orderkey not_null unique\nlines o_orderkey not_null"
+    twice = orders.unionByName(orders.filter("o_custkey % 7 = 0"))
+    broken = orders.withColumn("o_totalprice", F.when(F.col("o_custkey") % 7 == 0, F.raise_error(F.lit("no price")).cast("double")).otherwise(1.0))
+    audits = []
+    for kind, rows in (("first", orders), ("twice", twice), ("broken", broken)):
+        audit = publish(spark, {"orders": rows, "lines": rows}, database, location, checks=checks)
+        audits.append(audit.withColumn("load", F.lit(kind)))
+    return database, reduce(DataFrame.unionByName, audits)
+
+
+@query("publish_failed_check", "select o_orderkey, o_custkey, o_totalprice from orders")
+def publish_failed_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neither a failing check nor a failing load takes away the rows that were there."""
+    return spark.table(f"{_after_failures(spark, sf_dir)[0]}.orders")
+
+
+@query(
+    "publish_failed_audit",
+    """
+with n as (select count(*) as n, count(*) filter (o_custkey % 7 = 0) as twice from orders)
+select 'first' as load, 'orders' as table_name, 'loaded' as status, n as num_rows, null as why from n
+union all select 'first', 'lines', 'loaded', n, null from n
+union all select 'twice', 'orders', 'failed', null, 'orders.o_orderkey unique: ' || twice from n
+union all select 'twice', 'lines', 'loaded', n + twice, null from n
+union all select 'broken', t, 'failed', null, 'no price' from (select unnest(['orders', 'lines']) as t) t
+""",
+)
+def publish_failed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    why = F.when(F.col("error").contains("no price"), "no price").otherwise(F.col("error")).alias("why")
+    return _after_failures(spark, sf_dir)[1].select("load", "table_name", "status", "num_rows", why)
+
+
+@query(
+    "publish_linked",
+    """
+select event_id, user_id, cast(ts as date) as snapshot_date from events
+union all select -event_id, user_id, cast(ts as date) from events where cast(ts as date) = date '2024-01-15'
+""",
+)
+def publish_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days of a table become those of the database; then one of them is written anew elsewhere, and linked again."""
+    database, location, files = _database(), scratch(spark, "published"), scratch(spark, "daily")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", day("ts").alias("snapshot_date"))
+    replace_days(balanced(events), files)
+    publish(spark, {"movies": files}, database, location, link=True)
+    again, late = scratch(spark, "daily"), events.filter("snapshot_date = date'2024-01-15'")
+    replace_days(balanced(late.unionByName(late.withColumn("event_id", -F.col("event_id")))), again)
+    publish(spark, {"movies": again}, database, location, link=True, day="2024-01-15")
+    return spark.table(f"{database}.movies")
+
+
+def _staged_database(spark: SparkSession, sf_dir: str) -> str:
+    """The silver tables that views read, published."""
+    database, documents = _database(), films(spark, sf_dir)
+    publish(spark, {t: silver_table(documents, t) for t in SOURCES}, database, scratch(spark, "published"))
+    return database
+
+
+@query("views_of_another_session", _counts(STAGING_SQL).replace(" as name", " as view_name"))
+def views_of_another_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 11 views are in the database: a session that made none of them reads them all, also after they were replaced."""
+    database = _staged_database(spark, sf_dir)
+    for _ in range(2):
+        create_views(spark, database)
+    other, path = spark.newSession(), scratch(spark, "view-counts")
+    views = [v.viewName for v in other.sql(f"SHOW VIEWS IN `{database}`").collect() if not v.isTemporary]
+    counts = [other.table(f"{database}.{v}").agg(F.count("*").alias("n")).select(F.lit(v).alias("view_name"), "n") for v in views]
+    reduce(DataFrame.unionByName, counts).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+# --- models and steps -----------------------------------------------------------------
+@query("marts_selected", _counts({n: MART_SQL[n] for n in ("dim_movie", "bridge_movie_genre", "dim_genre")}))
+def marts_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The film dimension with what it reads, and what reads two of the views: these marts are built, and no others."""
+    documents, path = films(spark, sf_dir), scratch(spark, "marts")
+    tables = {t: silver_table(documents, t) for t in SOURCES}
+    build_marts(spark, tables, path, choice="+dim_movie stg_movie_genres+ stg_dim_genre+")
+    counts = [
+        read_table(spark, f"{path}/{n}").agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n")
+        for n in MODELS
+        if read_if_exists(spark, f"{path}/{n}", "x int") is not None
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("resumed_steps", "select event_id, user_id, cast(ts as date) as snapshot_date from events")
+def resumed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two steps that append; the second breaks off at first. The run that goes on repeats only that one."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", day("ts").alias("snapshot_date"))
+    root = scratch(spark, "steps")
+    append(events, f"{root}/given")
+
+    def copy(source: str, target: str, fails: bool = False) -> None:
+        if fails:
+            raise InterruptedError
+        append(read_table(spark, f"{root}/{source}"), f"{root}/{target}")
+
+    for fails in (True, False, False):
+        steps = Ledger(spark, root, FIRST_DAY, resume=True)
+        try:
+            steps.step("first", lambda: copy("given", "once"), f"{root}/given")
+            steps.step("second", lambda: copy("once", "found", fails), f"{root}/once")  # noqa: B023
+        except InterruptedError:
+            continue
+    return read_table(spark, f"{root}/found")
+
+
 # --- checks ----------------------------------------------------------------------
 @query("check_not_null", "select event_id, event_type from events where nullif(event_type, 'click') is null")
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,11 +209,6 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- from landed documents to checked marts -----------------------------------------
-def _counts(tables: dict[str, str]) -> str:
-    counts = [f"select '{name}' as name, count(*) as n from ({sql}) t" for name, sql in tables.items()]
-    return " union all ".join(counts)
-
-
 # Every declared check, written out, and the rows that fail it where some do.
 VIOLATIONS = f"""
 select 'stg_movie_genres.genre_id not_null' as name, count(*) as n
@@ -117,13 +235,20 @@ EXPECTED = {name: sql for name, sql in SILVER_SQL.items() if not name.startswith
 }
 
 
+_ran: dict[tuple[str, str], tuple[str, str]] = {}
+
+
 def _two_days(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Two days run one after the other; returns the root and the database.
 
     The raw table holds several documents of a film and day here, so that every
-    step has duplicates to deal with.
+    step has duplicates to deal with. One run serves all queries of a session, as
+    long as its tables are there.
     """
-    root, database = scratch(spark, "warehouse"), _database()
+    key = spark.sparkContext.applicationId, sf_dir
+    if key in _ran and spark.catalog.databaseExists(_ran[key][1]) and partition_values(spark, f"{_ran[key][0]}/raw", "snapshot_date"):
+        return _ran[key]
+    root, database = _ran[key] = scratch(spark, "warehouse"), _database()
     append_days(balanced(raw_films(spark, sf_dir)), f"{root}/raw")
     for run in (FIRST_DAY, SECOND_DAY):
         run_after_landing(spark, root, database, run)

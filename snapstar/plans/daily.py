@@ -11,16 +11,16 @@ from snapstar.operators.quality import check_report
 from snapstar.plans.carry import carry, newest
 from snapstar.plans.examples import first_example, second_example
 from snapstar.plans.landing import land_files
-from snapstar.plans.marts import ADVANCE, BRIDGES, DIMENSIONS, FACT_DDL, advance_fact, build_staging
+from snapstar.plans.ledger import Ledger
+from snapstar.plans.marts import ADVANCE, BRIDGES, DIMENSIONS, FACT, FACT_DDL, FACT_VIEW, advance_fact, build_staging, create_views
+from snapstar.plans.models import levels, part, select
 from snapstar.plans.parse import parse_landed
 from snapstar.plans.silver import build_silver, read_silver
-from snapstar.schemas import RAW_DDL, SILVER_TABLES
-from snapstar.sinks.publish import publish
-from snapstar.sinks.write import at_once, overwrite
+from snapstar.schemas import RAW_DDL, SILVER_TABLES, STAGING
+from snapstar.sinks.publish import AUDIT_DDL, publish
+from snapstar.sinks.write import DAY, at_once, overwrite
 from snapstar.sources.tables import one_day, read_table, source_tables
 
-FACT = "fct_movie_daily_snapshot"
-
 
 def build_marts(
     spark: SparkSession,
@@ -29,11 +29,13 @@ def build_marts(
     *,
     day: Day = None,
     full_refresh: bool = False,
+    choice: str | None = None,
 ) -> None:
-    """Rewrite dimensions and bridges, and advance the fact.
+    """Rewrite dimensions and bridges, and advance the fact; of these the ones of a ``choice`` (``models.select``).
 
     With a ``day``, the marts over all days go on from their last state, and the
-    last state, which ``read_marts`` finds, is the table.
+    last state, which ``read_marts`` finds, is the table. Models are built level
+    by level, those of a level at once.
     """
     views = build_staging(source_tables(tables), register=True)
 
@@ -45,10 +47,10 @@ def build_marts(
             overwrite(build(views[view]), f"{marts}/{name}")
 
     def write_fact() -> None:
-        rows = views["stg_fact_movie_daily_snapshot"]
-        advance_fact(spark, rows, f"{marts}/{FACT}", full_refresh=full_refresh)
+        advance_fact(spark, views[FACT_VIEW], f"{marts}/{FACT}", full_refresh=full_refresh)
 
-    at_once([*[partial(write, name) for name in (*DIMENSIONS, *BRIDGES)], write_fact])
+    for level in levels(part(select(choice))):
+        at_once([write_fact if name == FACT else partial(write, name) for name in level if name not in STAGING])
 
 
 def read_marts(spark: SparkSession, marts: str) -> dict[str, DataFrame]:
@@ -56,18 +58,34 @@ def read_marts(spark: SparkSession, marts: str) -> dict[str, DataFrame]:
     return tables | {FACT: read_table(spark, f"{marts}/{FACT}", FACT_DDL)}
 
 
-def run_publish(spark: SparkSession, root: str, database: str, day: Day = None) -> DataFrame:
-    """Publish a day of the silver tables; returns the load audit."""
-    tables = {name: read_silver(spark, f"{root}/silver", name) for name in SILVER_TABLES}
-    return publish(spark, tables, database, f"{root}/warehouse", day=run_date(day))
+def run_publish(
+    spark: SparkSession, root: str, database: str, day: Day = None, *, checks: str = "", link: bool = False
+) -> DataFrame:
+    """Publish a day of the silver tables; returns the load audit, which is kept under ``root/audit``.
+
+    With ``link`` the database gets no files of its own: its days are the silver folders.
+    """
+    silver = f"{root}/silver"
+    read = (lambda name: newest(spark, f"{silver}/{name}")) if link else (lambda name: read_silver(spark, silver, name))
+    tables = {name: read(name) for name in SILVER_TABLES}
+    audit = publish(spark, tables, database, f"{root}/warehouse", day=run_date(day), checks=checks, link=link)
+    overwrite(audit, f"{root}/audit/{DAY}={run_date(day)}")
+    return read_table(spark, f"{root}/audit/{DAY}={run_date(day)}", AUDIT_DDL)
 
 
 def run_marts(
-    spark: SparkSession, root: str, database: str, day: Day = None, *, full_refresh: bool = False
+    spark: SparkSession,
+    root: str,
+    database: str,
+    day: Day = None,
+    *,
+    full_refresh: bool = False,
+    choice: str | None = None,
 ) -> None:
-    """Model the published tables as of a day; ``full_refresh`` makes the fact anew."""
+    """Model the published tables as of a day, and keep the views in the database; ``full_refresh`` makes the fact anew."""
+    create_views(spark, database, [view for view in STAGING if view in select(choice)])
     published = {name: spark.table(f"`{database}`.`{name}`") for name in SILVER_TABLES}
-    build_marts(spark, published, f"{root}/marts", day=run_date(day), full_refresh=full_refresh)
+    build_marts(spark, published, f"{root}/marts", day=run_date(day), full_refresh=full_refresh, choice=choice)
 
 
 def run_after_landing(
@@ -78,15 +96,25 @@ def run_after_landing(
     *,
     mode: str = "replace_day",
     full_refresh: bool = False,
+    checks: str = "",
+    link: bool = False,
+    resume: bool = False,
+    attempts: int = 1,
 ) -> DataFrame:
-    """Parse, flatten, publish and model a day that is landed; returns the load audit."""
+    """Parse, flatten, publish and model a day that is landed; returns the load audit.
+
+    With ``resume`` a run that failed goes on: steps that finished with what is
+    there now are left out, up to the first one that has to run (``Ledger``).
+    """
     day = run_date(day)
-    landed = one_day(read_table(spark, f"{root}/raw", RAW_DDL), day)
-    parse_landed(landed, f"{root}/parsed", mode, day)
-    build_silver(spark, f"{root}/parsed", f"{root}/silver", day, mode, state_root=f"{root}/silver")
-    audit = run_publish(spark, root, database, day)
-    run_marts(spark, root, database, day, full_refresh=full_refresh)
-    return audit
+    steps = Ledger(spark, root, day, resume=resume, attempts=attempts)
+    raw, parsed, silver = f"{root}/raw", f"{root}/parsed", f"{root}/silver"
+    landed = one_day(read_table(spark, raw, RAW_DDL), day)
+    steps.step("parse", lambda: parse_landed(landed, parsed, mode, day), f"{raw}/{DAY}={day}")
+    steps.step("silver", lambda: build_silver(spark, parsed, silver, day, mode, state_root=silver), parsed)
+    steps.step("publish", lambda: run_publish(spark, root, database, day, checks=checks, link=link), silver)
+    steps.step("marts", lambda: run_marts(spark, root, database, day, full_refresh=full_refresh), silver, f"{root}/audit")
+    return read_table(spark, f"{root}/audit/{DAY}={day}", AUDIT_DDL)
 
 
 def run_day(
@@ -95,18 +123,17 @@ def run_day(
     root: str,
     database: str,
     day: Day = None,
-    *,
-    mode: str = "replace_day",
-    full_refresh: bool = False,
+    **options,
 ) -> DataFrame:
     """Land a day's files and bring everything up to date; returns the load audit.
 
     Without a day it is today's run. With ``replace_day`` a rerun leaves the
-    same tables; ``append`` doubles the day in the daily tables.
+    same tables; ``append`` doubles the day in the daily tables. ``options`` are
+    those of ``run_after_landing``.
     """
     day = run_date(day)
     land_files(spark, files_root, f"{root}/raw", day)
-    return run_after_landing(spark, root, database, day, mode=mode, full_refresh=full_refresh)
+    return run_after_landing(spark, root, database, day, **options)
 
 
 def run_checks(spark: SparkSession, database: str, marts: str) -> DataFrame:

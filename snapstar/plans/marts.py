@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from snapstar.schemas import (
 from snapstar.sinks.write import DAY, balanced, overwrite, replace_days
 from snapstar.sources.tables import one_day, partition_values, read_if_exists
 
+FACT, FACT_VIEW = "fct_movie_daily_snapshot", "stg_fact_movie_daily_snapshot"
 FACT_DDL = (
     "movie_id bigint, popularity double, vote_average double, vote_count bigint, revenue bigint, runtime bigint, "
     "status string, snapshot_date date"
@@ -47,6 +48,21 @@ def staging(sources: Mapping[str, DataFrame], view: str) -> DataFrame:
     return staging_view(sources[source], columns, STAGING_REQUIRED.get(view))
 
 
+def view_sql(view: str, database: str) -> str:
+    """The view in SQL, over the published table of a database."""
+    source, columns = STAGING[view]
+    typed = [c.split() for c in names(columns)]
+    listed = ", ".join(f"CAST({c[0]} AS {c[1]}) AS {c[0]}" if c[1:] else c[0] for c in typed)
+    required = STAGING_REQUIRED.get(view)
+    return f"SELECT {listed} FROM `{database}`.`{source}`" + (f" WHERE {required} IS NOT NULL" if required else "")
+
+
+def create_views(spark: SparkSession, database: str, views: Iterable[str] = STAGING) -> None:
+    """Keep the views in the database, for every session; one that is there is replaced."""
+    for view in views:
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS {view_sql(view, database)}")
+
+
 def build_staging(sources: Mapping[str, DataFrame], *, register: bool = False) -> dict[str, DataFrame]:
     """The 11 typed views; ``register`` also makes them visible to SQL."""
     views = {view: staging(sources, view) for view in STAGING}

@@ -36,19 +36,26 @@ def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl) if found is None else found
 
 
+#: Fixed value: the name of the folder of a null value.
+NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """The values that have a ``column=value`` folder, sorted as text, by listing one folder; no file is opened."""
+def partition_values(spark: SparkSession, path: str, column: str, *, null: bool = False) -> list[str]:
+    """The values that have a ``column=value`` folder, sorted as text, by listing one folder; no file is opened.
+
+    ``null`` adds the name that stands for a null value, if it has a folder.
+    """
     folder, files = _folder(spark, path)
     if not files.exists(folder):
         return []
     names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
     values = [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
-    return sorted(v for v in values if not v.startswith("__"))
+    return sorted(v for v in values if not v.startswith("__") or null and v == NULL)
 
 
 def one_day(rows: DataFrame, day: Day = None) -> DataFrame:
