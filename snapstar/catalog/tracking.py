@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from snapstar.catalog.base import query
 from snapstar.catalog.shapes import FIRST_DAY, SECOND_DAY, customer_lines, day, table, write_files
 from snapstar.functions.columns import lookback
-from snapstar.plans.universe import backfill, new_ids, run_metrics, update_universe, updated_universe
-from snapstar.session import scratch
+from snapstar.operators.keyed import set_difference
+from snapstar.plans.universe import backfill, new_ids, run_metrics, track, update_universe, updated_universe
+from snapstar.session import scratch, stored
 from snapstar.sources.discovery import discovered_ids, listed, missing_pages, read_pages, released_between
-from snapstar.sources.state import load_ids, read_id_array, save_ids
+from snapstar.sources.state import add_ids, known_ids, load_ids, read_id_array, save_ids
 
 
 def write_pages(spark: SparkSession, sf_dir: str, window: str | None = None, lost: int = 0) -> str:
@@ -122,6 +123,45 @@ def universe_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_ids(spark, path)
 
 
+@query(
+    "universe_log",
+    """
+select c_custkey as movie_id from customer union select s_suppkey + 1000 from supplier union select o_custkey from orders
+""",
+)
+def universe_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as the base; then runs that add the suppliers and, order month by month, what these bring."""
+    path = scratch(spark, "state")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_custkey as movie_id", "month(o_orderdate) as run")
+    suppliers = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 1000).alias("movie_id"))
+    save_ids(spark, _ids(table(spark, sf_dir, "customer").filter("c_custkey % 3 > 0"), "c_custkey"), path)
+    for ids in (suppliers, *(orders.filter(f"run = {m}").select("movie_id") for m in (1, 2, 3)), orders.select("movie_id")):
+        found = stored(ids.distinct(), "found")
+        add_ids(spark, set_difference(found, known_ids(load_ids(spark, path), found)), path)
+    rest = stored(_ids(table(spark, sf_dir, "customer"), "c_custkey"), "found")
+    track(spark, path, rest, rest)
+    return load_ids(spark, path)
+
+
+LOG_METRICS = """
+with tracked as (select o_custkey as movie_id from orders group by 1), found as (select c_custkey as movie_id from customer),
+landed as (select s_suppkey as movie_id from supplier),
+universe as (select movie_id from tracked union select movie_id from found)
+select (select count(*) from tracked) as existing, (select count(*) from found) as discovered,
+    (select count(*) from (select * from found except select * from tracked) x) as truly_new,
+    (select count(*) from (select * from universe intersect select * from landed) x) as succeeded,
+    (select count(*) from (select * from universe except select * from landed) x) as failed,
+    (select count(*) from universe) as universe_size
+"""
+
+
+@query("universe_log_metrics", LOG_METRICS)
+def universe_log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "state")
+    save_ids(spark, ordering(spark, sf_dir), path)
+    return track(spark, path, _ids(table(spark, sf_dir, "customer"), "c_custkey"), _ids(table(spark, sf_dir, "supplier"), "s_suppkey"))
+
+
 @query("universe_first_load", "select distinct s_nationkey::bigint as movie_id from supplier")
 def universe_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without a saved state the universe starts empty."""

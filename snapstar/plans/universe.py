@@ -9,10 +9,14 @@ from snapstar.functions.columns import Day
 from snapstar.operators.keyed import set_difference, set_union
 from snapstar.schemas import RAW_DDL
 from snapstar.sources.discovery import discovered_ids, listed, missing_pages, read_pages, released_between
-from snapstar.sources.state import load_ids, save_ids
+from snapstar.session import stored, workspace
+from snapstar.sources.state import add_ids, known_ids, load_ids
 from snapstar.sources.tables import one_day, read_or_empty
 
 
+METRICS_DDL = "existing bigint, discovered bigint, truly_new bigint, succeeded bigint, failed bigint, universe_size bigint"
+
+
 class IncompleteListing(ValueError):
     """A landed listing has fewer pages than it says."""
 
@@ -67,12 +71,29 @@ def update_universe(
     pages = read_pages(spark, pages_root, day, window)
     if lacking := missing_pages(pages).head(5):
         raise IncompleteListing(", ".join(f"{r.folder}: {r.landed} of {r.total_pages} pages" for r in lacking))
-    entries = listed(pages)
-    discovered = discovered_ids(released_between(entries, first, last))
-    before = load_ids(spark, state_path)
-    save_ids(spark, updated_universe(before, discovered), state_path)
     landed = read_or_empty(spark, landed_path, RAW_DDL) if landed_path else spark.createDataFrame([], RAW_DDL)
-    return run_metrics(before, discovered, one_day(landed, day).select("movie_id"))
+    with workspace(spark):
+        entries = listed(pages)
+        discovered = stored(discovered_ids(released_between(entries, first, last)), "discovered")
+        today = stored(one_day(landed, day).select("movie_id").distinct(), "landed-ids")
+        return track(spark, state_path, discovered, today)
+
+
+def track(spark: SparkSession, state_path: str, discovered: DataFrame, landed: DataFrame) -> DataFrame:
+    """Add the discovered ids to the log of tracked ones; the metrics of ``run_metrics``, from the day's ids alone.
+
+    Both tables have each id once. Of the tracked ids only those are looked at
+    that may be among the day's; how many there are is in the footers of their files.
+    """
+    before = load_ids(spark, state_path)
+    known = stored(known_ids(before, discovered), "known-ids")
+    new = stored(set_difference(discovered.select("movie_id"), known), "new-ids")
+    existing, found, truly_new = before.count(), discovered.count(), new.count()
+    succeeded = set_union(known_ids(before, landed), landed.join(discovered, "movie_id", "left_semi")).count()
+    if truly_new:
+        add_ids(spark, new, state_path)
+    universe = existing + truly_new
+    return spark.createDataFrame([(existing, found, truly_new, succeeded, universe - succeeded, universe)], METRICS_DDL)
 
 
 def backfill(

@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 
 from snapstar.__main__ import arguments, run
 from snapstar.functions.columns import day_literal, run_date
@@ -17,7 +17,8 @@ from snapstar.schemas import CHILDREN, SILVER_TABLES
 from snapstar.session import scratch
 from snapstar.sinks.publish import publish
 from snapstar.sinks.write import inspect
-from snapstar.sources.state import load_ids, read_id_array, save_ids
+from snapstar.sources import state
+from snapstar.sources.state import add_ids, known_ids, load_ids, read_id_array, save_ids
 from snapstar.sources.discovery import released_between
 from snapstar.sources.tables import partition_values, source_tables
 
@@ -43,18 +44,41 @@ def test_state(spark, root):
     assert load_ids(spark, root + "/s").first()[0] == 8
 
 
+def test_log_of_ids(spark, root, monkeypatch):
+    """Runs add what is new; the log is merged now and then, and a day's ids read a part of it."""
+    monkeypatch.setattr(state, "MERGED", 3)
+    ids = lambda *values: spark.createDataFrame([(i,) for i in values], "movie_id bigint")
+    path = root + "/s"
+    seen, folders = set(), []
+    for i in range(8):
+        new = {10 * i, 10 * i + 1}
+        folders.append(add_ids(spark, ids(*new), path).rpartition("/")[2])
+        seen |= new
+        assert rows_of(load_ids(spark, path)) == sorted((i,) for i in seen)
+    assert folders == ["version=1", "delta=1-1", "delta=1-2", "version=2", "delta=2-1", "delta=2-2", "version=3", "delta=3-1"]
+    for _ in range(7):
+        save_ids(spark, ids(*seen), path)
+    assert partition_values(spark, path, "delta") == [] and len(partition_values(spark, path, "version")) == 5
+    assert rows_of(known_ids(load_ids(spark, path), ids(1, 2, 71))) == [(1,), (71,)]
+    assert known_ids(load_ids(spark, path), ids()).count() == 0
+    spark.range(1_000_000).selectExpr("id as movie_id").write.option("parquet.block.size", 1 << 20).parquet(path + "/many")
+    many = spark.read.parquet(path + "/many")
+    few = known_ids(many, ids(999_998, 1_000_005))
+    assert rows_of(few) == [(999_998,)] and "Exchange hashpartitioning" not in plan_of(few).split("BroadcastExchange")[0].split("HashAggregate")[-1]
+
+
 def test_lost_page(spark, tmp_path):
-    day, pages, state = "2026-04-08", tmp_path / "discover", f"{tmp_path}/state"
+    day, pages, log = "2026-04-08", tmp_path / "discover", f"{tmp_path}/state"
     for page in (1, 3):
         write_json(
             pages / f"snapshot_date={day}" / f"page={page}.json",
             {"page": page, "total_pages": 3, "results": [entry(page, day)]},
         )
     with pytest.raises(IncompleteListing, match="2 of 3"):
-        update_universe(spark, str(pages), state, day)
-    assert load_ids(spark, state).count() == 0
+        update_universe(spark, str(pages), log, day)
+    assert load_ids(spark, log).count() == 0
     write_json(pages / f"snapshot_date={day}" / "page=2.json", {"page": 2, "total_pages": 3, "results": []})
-    assert update_universe(spark, str(pages), state, day).first().universe_size == 2
+    assert update_universe(spark, str(pages), log, day).first().universe_size == 2
 
 
 def test_run_date_defaults_to_today(spark):
@@ -81,7 +105,7 @@ def test_id_array(spark, tmp_path, indent):
 
 
 def test_universe(spark, tmp_path):
-    day, pages, state = "2026-04-08", tmp_path / "discover", f"{tmp_path}/state"
+    day, pages, log = "2026-04-08", tmp_path / "discover", f"{tmp_path}/state"
     write_json(
         pages / f"snapshot_date={day}" / "page=1.json",
         {"page": 1, "total_pages": 2, "results": [entry(1, day), entry(2, day, adult=True), entry(3, "2026-04-07")]},
@@ -90,17 +114,17 @@ def test_universe(spark, tmp_path):
         pages / f"snapshot_date={day}" / "page=2.json",
         {"page": 2, "total_pages": 2, "results": [entry(1, day), entry(4, day, video=None), {"release_date": day}]},
     )
-    save_ids(spark, spark.createDataFrame([(4,), (9,)], "movie_id bigint"), state)
-    metrics = update_universe(spark, str(pages), state, day).first().asDict()
+    save_ids(spark, spark.createDataFrame([(4,), (9,)], "movie_id bigint"), log)
+    metrics = update_universe(spark, str(pages), log, day).first().asDict()
     assert metrics == {
         "existing": 2, "discovered": 2, "truly_new": 1, "succeeded": 0, "failed": 3, "universe_size": 3,
     }
-    assert rows_of(load_ids(spark, state)) == [(1,), (4,), (9,)]
+    assert rows_of(load_ids(spark, log)) == [(1,), (4,), (9,)]
     write_json(
         pages / "snapshot_date=2026-04-09" / "window=2026-04-05_2026-04-07" / "page=1.json",
         {"page": 1, "total_pages": 1, "results": [entry(20, "2026-04-05"), entry(21, "2026-04-08")]},
     )
-    metrics = backfill(spark, str(pages), state, "2026-04-05", "2026-04-07", "2026-04-09").first()
+    metrics = backfill(spark, str(pages), log, "2026-04-05", "2026-04-07", "2026-04-09").first()
     assert (metrics.discovered, metrics.universe_size) == (1, 4)
 
 
