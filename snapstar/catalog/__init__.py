@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from snapstar.catalog import changes, keyed, nested, publishing, silver, tracking  # noqa: F401 (each registers its queries)
+from snapstar.catalog import changes, keyed, nested, publishing, silver, tracking, upkeep  # noqa: F401 (each registers its queries)
 from snapstar.catalog.base import ORACLES, QUERIES, Query
 
 

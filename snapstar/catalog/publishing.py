@@ -31,7 +31,7 @@ def _counts(tables: dict[str, str]) -> str:
     return " union all ".join(counts)
 
 
-def _database() -> str:
+def database_name() -> str:
     return f"snapstar_{uuid.uuid4().hex}"
 
 
@@ -45,7 +45,7 @@ def publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: table(spark, sf_dir, name) for name in GIVEN}
     tables["movies"] = table(spark, sf_dir, "events").withColumn("snapshot_date", day("ts"))
     tables["missing"] = f"{sf_dir}/no_such_table"
-    audit = publish(spark, tables, _database(), scratch(spark, "published"))
+    audit = publish(spark, tables, database_name(), scratch(spark, "published"))
     return audit.select("table_name", "status", "num_rows")
 
 
@@ -55,7 +55,7 @@ def publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def publish_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded twice without replacing, the table holds everything twice."""
-    database, location = _database(), scratch(spark, "published")
+    database, location = database_name(), scratch(spark, "published")
     for _ in range(2):
         audit = publish(spark, {"orders": table(spark, sf_dir, "orders")}, database, location, replace=False)
     return audit.select("table_name", "status", "num_rows")
@@ -64,7 +64,7 @@ def publish_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- loads that fail, links and views -------------------------------------------------
 def _after_failures(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Orders, published; then a load whose rows fail a check, one that breaks off, and one that passes its checks."""
-    database, location = _database(), scratch(spark, "published")
+    database, location = database_name(), scratch(spark, "published")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     checks = "orders o_orderkey not_null unique\nlines o_orderkey not_null"
     twice = orders.unionByName(orders.filter("o_custkey % 7 = 0"))
@@ -107,7 +107,7 @@ union all select -event_id, user_id, cast(ts as date) from events where cast(ts
 )
 def publish_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days of a table become those of the database; then one of them is written anew elsewhere, and linked again."""
-    database, location, files = _database(), scratch(spark, "published"), scratch(spark, "daily")
+    database, location, files = database_name(), scratch(spark, "published"), scratch(spark, "daily")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", day("ts").alias("snapshot_date"))
     replace_days(balanced(events), files)
     publish(spark, {"movies": files}, database, location, link=True)
@@ -119,7 +119,7 @@ def publish_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _staged_database(spark: SparkSession, sf_dir: str) -> str:
     """The silver tables that views read, published."""
-    database, documents = _database(), films(spark, sf_dir)
+    database, documents = database_name(), films(spark, sf_dir)
     publish(spark, {t: silver_table(documents, t) for t in SOURCES}, database, scratch(spark, "published"))
     return database
 
@@ -248,7 +248,7 @@ def _two_days(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     key = spark.sparkContext.applicationId, sf_dir
     if key in _ran and spark.catalog.databaseExists(_ran[key][1]) and partition_values(spark, f"{_ran[key][0]}/raw", "snapshot_date"):
         return _ran[key]
-    root, database = _ran[key] = scratch(spark, "warehouse"), _database()
+    root, database = _ran[key] = scratch(spark, "warehouse"), database_name()
     append_days(balanced(raw_films(spark, sf_dir)), f"{root}/raw")
     for run in (FIRST_DAY, SECOND_DAY):
         run_after_landing(spark, root, database, run)
