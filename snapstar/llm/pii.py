@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Callable
 from itertools import product
 
@@ -57,18 +58,29 @@ FEATURES = ("kind", *VOTERS, "size", "digits", "left", "right")
 ROUNDS = 60
 
 
-def running(values: Column) -> Column:
-    """The running sums of an array of longs: block by block, so that long arrays don't cost the square of their size."""
+def running(values: Column, add: Callable[[Column, Column], Column] = operator.add) -> Column:
+    """The running sums of an array of longs: block by block, so that long arrays don't cost the square of their size.
+
+    ``add`` may be any operation whose order of brackets doesn't matter.
+    """
     block = 256
-    none = F.array(F.lit(0).cast("long"))
 
     def sums(part: Column) -> Column:
-        return F.aggregate(part, none, lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+        first = F.array(F.element_at(part, 1))
+        return F.aggregate(F.slice(part, 2, block), first, lambda a, x: F.concat(a, F.array(add(F.element_at(a, -1), x))))
 
     def joined(parts: Column) -> Column:
-        bases = sums(F.transform(parts, lambda p: F.element_at(p, -1)))
+        bases = sums_of_blocks(F.transform(parts, lambda p: F.element_at(p, -1)))
         return let(
-            bases, lambda b: F.flatten(F.transform(parts, lambda p, i: F.transform(F.slice(p, 2, block), lambda x: x + F.get(b, i))))
+            bases,
+            lambda b: F.flatten(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.transform(p, lambda x: add(F.get(b, i - 1), x))))),
+        )
+
+    def sums_of_blocks(lasts: Column) -> Column:
+        return F.aggregate(
+            F.slice(lasts, 2, F.size(lasts)),
+            F.array(F.element_at(lasts, 1)),
+            lambda a, x: F.concat(a, F.array(add(F.element_at(a, -1), x))),
         )
 
     def whole(own: Column) -> Column:
@@ -80,30 +92,45 @@ def running(values: Column) -> Column:
 
 
 def matches(text: Column, kind: str) -> Column:
-    """The leftmost non-overlapping matches of a kind, as (kind, start, end, hit) in code points."""
+    """The leftmost non-overlapping matches of a kind, as (kind, start, end, hit, before, after) in code points.
+
+    ``before`` are the ``CONTEXT`` characters that precede it and ``after`` is the next
+    one. Both come from the pieces of the text between the matches: to go to each
+    place from the start of the text would cost the square of its length.
+    """
     pattern = PATTERNS[kind]
 
     def spans(hits: Column) -> Column:
-        steps = F.transform(
-            F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(hits)).alias("gap"), hits.alias("hit")),
-            lambda x: (F.length(x["gap"]) + F.length(x["hit"])).cast("long"),
-        )
+        return let(F.split(text, pattern, -1), lambda gaps: placed(hits, gaps))
+
+    def placed(hits: Column, gaps: Column) -> Column:
+        steps = F.transform(hits, lambda hit, i: (F.length(F.get(gaps, i)) + F.length(hit)).cast("long"))
 
-        def placed(ends: Column) -> Column:
-            return F.transform(
-                hits,
-                lambda hit, i: F.struct(
-                    F.lit(kind).alias("kind"),
-                    (F.get(ends, i) - F.length(hit)).alias("start"),
-                    F.get(ends, i).alias("end"),
-                    hit.alias("hit"),
-                ),
+        def tail(piece: Column) -> Column:
+            return F.right(piece, F.lit(CONTEXT))
+
+        # What precedes a match: the match before it, and the gap between them. With the gap they have three characters
+        # or more, so that this many of them hold the context.
+        pieces = F.transform(gaps, lambda gap, i: F.concat(F.when(i > 0, tail(F.get(hits, i - 1))).otherwise(""), tail(gap)))
+        many = CONTEXT // 3 + 1
+
+        def row(hit: Column, i: Column, ends: Column, own: Column) -> Column:
+            first = F.greatest(i - many + 1, F.lit(0))
+            before = tail(F.array_join(F.slice(own, first + 1, i - first + 1), ""))
+            after = F.left(F.concat(F.left(F.get(gaps, i + 1), F.lit(1)), F.coalesce(F.left(F.get(hits, i + 1), F.lit(1)), F.lit(""))), F.lit(1))
+            return F.struct(
+                F.lit(kind).alias("kind"),
+                (F.get(ends, i) - F.length(hit)).alias("start"),
+                F.get(ends, i).alias("end"),
+                hit.alias("hit"),
+                before.alias("before"),
+                after.alias("after"),
             )
 
-        return let(running(steps), placed)
+        return let(running(steps), lambda ends: let(pieces, lambda own: F.transform(hits, lambda hit, i: row(hit, i, ends, own))))
 
     found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
-    empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,hit:string>>")
+    empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,hit:string,before:string,after:string>>")
     wanted = text.rlike(TRIGGERS.get(kind, pattern))
     return F.when(wanted, found).otherwise(empty)
 
@@ -152,7 +179,6 @@ def _labelled(text: Column, kind: str) -> Column:
         def seen(before: Column) -> Column:
             base = valid(kind, x["hit"])
             share = F.length(F.regexp_replace(x["hit"], "[^0-9]", "")) / F.length(x["hit"])
-            after = F.substring(text, (x["end"] + 1).cast("int"), F.lit(1))
             return F.struct(
                 x["kind"].alias("kind"),
                 x["start"].alias("start"),
@@ -162,11 +188,10 @@ def _labelled(text: Column, kind: str) -> Column:
                 F.least(F.floor(F.length(x["hit"]) / 8), F.lit(4)).cast("int").alias("size"),
                 F.floor(share * 3).cast("int").alias("digits"),
                 _side(F.substring(before, -1, 1)).alias("left"),
-                _side(after).alias("right"),
+                _side(x["after"]).alias("right"),
             )
 
-        first = F.greatest(x["start"] - CONTEXT, F.lit(0))
-        return let(F.lower(F.substring(text, (first + 1).cast("int"), (x["start"] - first).cast("int"))), seen)
+        return let(F.lower(x["before"]), seen)
 
     return F.transform(matches(text, kind), row)
 
@@ -186,13 +211,36 @@ def candidates(docs: DataFrame, name: str = "candidates", text: str = "text") ->
         found = found.withColumn(f"_{name}_{kind}", _labelled(F.col(own), kind))
     base = F.filter(F.concat(*[F.col(f"_{name}_{k}") for k in BASE]), lambda x: x["base"])
     other = F.concat(F.col(f"_{name}_key"), F.col(f"_{name}_name"))
-    free = let(
-        base, lambda b: F.filter(other, lambda x: ~F.exists(b, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    )
-    every = F.concat(*[F.col(f"_{name}_{k}") for k in BASE], F.when(F.size(other) > 0, free).otherwise(other))
+    every = F.concat(*[F.col(f"_{name}_{k}") for k in BASE], F.when(F.size(other) > 0, _free(base, other)).otherwise(other))
     return found.withColumn(name, every).drop(own, *[f"_{name}_{k}" for k in PATTERNS])
 
 
+def _free(base: Column, other: Column) -> Column:
+    """The ``other`` spans that overlap no ``base`` one: by kind, then place.
+
+    Both are put in one order, a base span where it starts, another where it ends.
+    Of the base spans before it in that order, which start before it ends, the one
+    that ends last tells whether any overlaps it.
+    """
+    none = F.when(F.lit(False), F.get(other, F.lit(0)))  # a null of the right type
+    starts = F.transform(base, lambda x: F.struct(x["start"].alias("at"), F.lit(1).alias("side"), x["end"].alias("top"), none.alias("x")))
+    ends = F.transform(
+        other, lambda x: F.struct(x["end"].alias("at"), F.lit(0).alias("side"), F.lit(-1).cast("long").alias("top"), x.alias("x"))
+    )
+
+    def alone(order: Column) -> Column:
+        tops = running(F.transform(order, lambda m: m["top"]), F.greatest)
+        return let(tops, lambda t: F.filter(order, lambda m, i: (m["side"] == 0) & (F.get(t, i) <= m["x"]["start"])))
+
+    def of(found: Column, kind: str) -> Column:
+        return F.transform(F.filter(found, lambda m: m["x"]["kind"] == kind), lambda m: m["x"])
+
+    def by_kind(found: Column) -> Column:
+        return F.concat(of(found, "key"), of(found, "name"))
+
+    return let(let(F.sort_array(F.concat(starts, ends)), alone), by_kind)
+
+
 class Model:
     """Weights of the final span classifier, by feature and value."""
 
@@ -278,30 +326,46 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 def redact(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
     """``docs`` with [KIND] in place of each span, and ``chars``, if there is such a column, set to the new length.
 
-    Of spans that overlap, the first names the kind and all are covered. Texts without a span, null ones too, stay as they are.
+    Of spans that overlap, the first names the kind and all are covered. Texts without a span, null ones too, stay as they
+    are; a repeated row appears as often as it is given; an empty table gives no rows. All columns are kept. The rows are
+    stored with their candidates, which are looked for once, for the fit and for the result; that table has the texts as
+    they were, so run it within a ``session.workspace`` that ends when the result is written.
     """
-    model = fit(stored(candidates(docs.select(text), text=text).select("candidates"), "pii"))
-    rows = candidates(docs, "_pii", text).withColumn("_pii", F.array_sort(_placed(accepted(model, "_pii"))))
-    here = F.col(text)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def add(state: Column, x: Column) -> Column:
-        gap = F.substring(here, (state["at"] + 1).cast("int"), (x["start"] - state["at"]).cast("int"))
-        put = F.concat(state["out"], gap, F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(state["at"], x["end"]).alias("at"), F.when(x["start"] < state["at"], state["out"]).otherwise(put).alias("out")
-        )
-
-    whole = F.aggregate(
-        "_pii", start, add, lambda s: F.concat(s["out"], F.substring(here, (s["at"] + 1).cast("int"), F.length(here)))
-    )
-    changed = rows.withColumn(text, F.when(F.size("_pii") > 0, whole).otherwise(here))
+    found = stored(candidates(docs, "_pii", text), "pii-rows")
+    rows = found.withColumn("_pii", F.array_sort(_placed(accepted(fit(found, "_pii"), "_pii"))))
+    changed = rows.withColumn(text, F.when(F.size("_pii") > 0, _covered(F.col(text), F.col("_pii"))).otherwise(F.col(text)))
     if chars in docs.columns:
         length = F.when(F.size("_pii") > 0, F.length(text)).otherwise(F.col(chars))
         changed = changed.withColumn(chars, length.cast(docs.schema[chars].dataType))
     return changed.select(*docs.columns)
 
 
+def _covered(text: Column, spans: Column) -> Column:
+    """The text with a mark in place of sorted spans. It is cut into blocks first, so that a place is near the start of one."""
+    block = 1024
+
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        i, j = F.floor(start / block).cast("int"), F.floor(end / block).cast("int")
+        at, to = (start % block).cast("int"), (end % block).cast("int")
+        first, last = F.coalesce(F.get(blocks, i), F.lit("")), F.coalesce(F.get(blocks, j), F.lit(""))
+        between = F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), "")
+        across = F.concat(F.substring(first, at + 1, F.lit(block)), between, F.substring(last, F.lit(1), to))
+        return F.when(i == j, F.substring(first, at + 1, to - at)).otherwise(across)
+
+    def marked(blocks: Column, tops: Column) -> Column:
+        def put(x: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(tops, i - 1)).otherwise(F.lit(0).cast("long"))
+            mark = F.concat(piece(blocks, before, x["start"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+            return F.when(x["start"] >= before, mark).otherwise("")
+
+        rest = piece(blocks, F.element_at(tops, -1), F.greatest(F.length(text).cast("long"), F.element_at(tops, -1)))
+        return F.concat(F.array_join(F.transform(spans, put), ""), rest)
+
+    tops = running(F.transform(spans, lambda x: x["end"]), F.greatest)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
+    return let(blocks, lambda b: let(tops, lambda t: marked(b, t)))
+
+
 def _placed(spans: Column) -> Column:
     return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from corpus import docs, empty, rows  # noqa: F401
@@ -64,6 +65,52 @@ def test_long_runs_and_many_spans(spark):
         assert found[i] == ([] if i != 2 else plain(texts[2]))
 
 
+def test_context_is_what_stands_beside(spark):
+    """The pieces between matches give the same characters as the text itself."""
+    rand = random.Random(6)
+    texts = [noisy(rand) * rand.choice([1, 3]) for _ in range(300)] + ["1 1," * 40, "a@b.c" * 30, "x " * 40 + "1.2.3.4"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = frame.select("doc_id", *[pii.matches(F.col("text"), k).alias(k) for k in pii.PATTERNS]).collect()
+    seen = 0
+    for r in found:
+        text = texts[r.doc_id]
+        for m in (m for k in pii.PATTERNS for m in r[k]):
+            seen += 1
+            assert (m.hit, m.before, m.after) == (text[m.start : m.end], text[max(0, m.start - pii.CONTEXT) : m.start], text[m.end : m.end + 1])
+    assert seen > 500
+
+
+def test_keys_and_names_beside_base_spans(spark):
+    """What overlaps a valid base span is left out, whatever the order; the rest stays."""
+    rand = random.Random(8)
+    parts = ["a1b2c3d4e5f6g7h8i9", "x@y.zz", "4111111111111111", "Mr Smith", "Mr Jones@x.yz", "k1234567890abcdef.q@z.com", "4111111111111111a", " ", ",", "é"]
+    texts = ["".join(rand.choice(parts) for _ in range(rand.randint(0, 14))) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    every = frame.select("doc_id", *[pii.matches(F.col("text"), k).alias(k) for k in ("key", "name")])
+    listed = {r.doc_id: [(m.kind, m.start, m.end) for k in ("key", "name") for m in r[k]] for r in every.collect()}
+    for r in pii.candidates(frame).collect():
+        base = [(x.start, x.end) for x in r.candidates if x.base]
+        expected = [x for x in listed[r.doc_id] if not any(a < x[2] and x[1] < b for a, b in base)]
+        assert [(x.kind, x.start, x.end) for x in r.candidates if x.kind in ("key", "name")] == expected
+
+
+def test_time_grows_with_the_spans(spark):
+    """Twenty thousand spans in one document: four times the spans take about four times as long, not sixteen."""
+    seconds = []
+    for n in (5_000, 20_000):
+        text = "".join(f"é mail user{i}@mail.com key sk_ab{i}cdefghijk123456, " for i in range(n // 2))
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        planned = pii.candidates(frame)
+        spans = F.array_sort(pii._placed(F.filter("candidates", lambda x: x["base"] | (x["kind"] == "key")))).alias("s")
+        whole = planned.select("text", spans).select(pii._covered(F.col("text"), F.col("s")).alias("t"), F.size("s").alias("n"))
+        whole.limit(0).collect()
+        start = time.perf_counter()
+        (row,) = whole.collect()
+        seconds.append(time.perf_counter() - start)
+        assert row.n == n and row.t.count("[EMAIL]") == row.t.count("[KEY]") == n // 2 and "@" not in row.t
+    assert seconds[1] < 30 and seconds[1] < 9 * seconds[0] + 2, seconds
+
+
 def test_table_digest(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = {r.doc_id: r.text for r in table.collect()}
@@ -121,6 +168,14 @@ def test_hard_rows(docs, empty):  # noqa: F811
     assert pii.digest(docs.withColumn("candidates", F.lit(1))).filter("spans != ''").count() == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
+def test_running_maximum(spark, n):
+    given = [(i * 7919) % 1009 - 500 for i in range(n)]
+    frame = spark.createDataFrame([(given,)], "a array<long>")
+    (row,) = frame.select(pii.running(F.col("a"), F.greatest).alias("m")).collect()
+    assert row.m == [max(given[: i + 1]) for i in range(n)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
 def test_running(spark, n):
     (row,) = spark.range(1).select(pii.running(F.expr(f"slice(sequence(1L, {n + 1}L), 1, {n})")).alias("s")).collect()

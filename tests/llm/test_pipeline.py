@@ -1,6 +1,7 @@
 """The pipeline's stages against plain versions, each on what the one before it returned."""
 
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
@@ -77,6 +78,25 @@ def test_run_and_registry(spark, passed):
     assert {"op6_mixing", "op11_lexical", "op12_divergence"} <= set(entry.oracle_sql())
 
 
+def test_nothing_unredacted_is_left(spark, monkeypatch):
+    """Of a run the mixed documents are left, and what the packing has stored; of a run that breaks off, nothing before its stage."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {*shared.iterdir()}
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = {p.name.rpartition("-")[0] for p in {*shared.iterdir()} - before}
+    assert "mixing" in left and not left & {"language", "near-duplicates", "personal-data", "pii-rows", "simhash-rows"}
+
+    def broken(spark, docs, sf_dir):
+        stored(docs, "unredacted")
+        raise ValueError
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:2], ("personal data", broken), *corpus_pipeline.STAGES[3:]])
+    before = {*shared.iterdir()}
+    with pytest.raises(ValueError):
+        corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert {*shared.iterdir()} == before
+
+
 def test_hard_rows_pass_through(spark, docs, empty):  # noqa: F811
     for frame in (docs, empty):
         given = frame
