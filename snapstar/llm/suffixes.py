@@ -44,6 +44,8 @@ PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 #: Bytes of text that a task holds at a time (a longer document is held whole), and keys in a bucket.
 CHUNK, BUCKET = 4 << 20, 1 << 20
 KNOTS = 256
+#: Parts in which the copies of a text are told the least id among them.
+PARTS = 32
 MESSAGE = "chunk long, kind int, bucket long, data binary"
 TEXT, COPY, TIED, SHARED, EARLIER = 0, 1, 2, 3, 4
 LAST = np.iinfo(np.int64).max
@@ -467,7 +469,10 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", chunk: int
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     marks = stored(rows.select("id", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha")), "suffix-marks")
     least = marks.groupBy("sha").agg(F.min("id").alias("least"), F.count("*").alias("_n")).filter("_n > 1")
-    copies = marks.join(least, "sha").filter("id > least or (id is null and least is not null)").select("id", "n", "sha")
+    # A group of copies may hold any share of the rows: its members meet the least id in parts.
+    least = least.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    parted = marks.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int"))
+    copies = parted.join(least, ["sha", "_part"]).filter("id > least or (id is null and least is not null)").select("id", "n", "sha")
     copies = stored(copies, "suffix-copies")
     again = copies.select("id", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("mark"))
     plan = layout(rows, "id", "text", chunk)
