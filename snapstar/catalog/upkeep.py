@@ -131,7 +131,7 @@ def _placed(rows: DataFrame, *order: str) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(Window.orderBy(*order))).drop(*order)
 
 
-@query("sorted_state", "select c_custkey as movie_id, row_number() over (order by c_custkey) as place from customer")
+@query("sorted_state", "select c_custkey as movie_id, (row_number() over (order by c_custkey))::int as place from customer")
 def sorted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each id in the files of the saved state, in the order of their names."""
     ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("movie_id")).repartition(5)
@@ -142,7 +142,7 @@ def sorted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "discovery_order",
     """
-select o_orderkey as id, row_number() over (order by cast(o_orderdate as date), o_orderkey) as place from orders
+select o_orderkey as id, (row_number() over (order by cast(o_orderdate as date), o_orderkey))::int as place from orders
 where cast(o_orderdate as date) between date '1996-01-01' and date '1997-12-31'
 """,
 )
