@@ -11,8 +11,10 @@ from snapstar.session import stored
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
 SEED = "mix"
-#: Keys of a source are summed in so many parts, so that no task holds a whole source.
-PARTS = 4096
+#: Parts that the range of a source is cut into each round, and parts of a source that meet its values on their own.
+PARTS, SALTS = 4096, 32
+#: The order of documents within a source: key, size, hash of the text.
+ORDER = ("_key", "size", "_tie")
 #: Characters that speak against running text.
 SYMBOLS = "[#*$%&|<>{}=0-9]"
 
@@ -58,40 +60,105 @@ def mix(docs: DataFrame, seed: str = SEED, id: str = "doc_id", text: str = "text
     the id and ``seed``, in ascending order until the words are used up; the one
     on the border gives as many words as fit. Reruns agree. Null or blank texts
     have size 0 and part 0; a null source is one source; null ids share one u;
-    equal keys go by id, size and text. Columns of the new names are replaced.
-
-    Sizes are summed by source and part of the key range; within a part, at most
-    a few thousandths of a source, a window adds them up. Only sources, a row
-    each, meet in one task.
+    equal keys go by size, then by a hash of the text, and rows equal in all of
+    these are interchangeable. Columns of the new names are replaced.
+
+    Only the border of each source has to be found; its documents are not
+    sorted. Sizes and keys are written once, and ``_borders`` adds them up by
+    ever narrower parts of the key range. Then each document is compared with
+    the border of its source, so that no text is shuffled where Spark broadcasts
+    a row for each source, and no source gathers where it doesn't.
     """
     size = words(text)
     u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col(id).cast("string")).cast("binary")), 1, 13), 16, 10)
     u = (u.cast("double") + 0.5) / float(1 << 52)
     new = ["size", "source_size", "target", "epochs", "part", "taken"]
-    rows = (
-        docs.drop(*new)
-        .withColumn("size", size)
-        .withColumn("_key", -F.log(u) / quality(text, F.col("size")))
-        .withColumn("_part", F.least(F.floor(PARTS * (1 - F.exp(-F.col("_key")))), F.lit(PARTS - 1)).cast("int"))
-        .withColumn("_none", F.col(source).isNull())
-        .withColumn("_name", F.coalesce(F.col(source).cast("string"), F.lit("")))
-        .withColumn("_tie", F.xxhash64(text))
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        F.col(source).isNull().alias("_none"),
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_name"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("_salt"),
+        size.alias("size"),
+        (-F.log(u) / quality(text, size)).alias("_key"),
+        F.shiftrightunsigned(F.xxhash64(text), 11).alias("_tie"),
     )
-    key = ["_none", "_name", "_part"]
-    parts = stored(rows.groupBy(*key).agg(F.sum("size").alias("_sum")), "mix-parts")
+    keyed = stored(rows.drop("_row"), "mix-keys")
+    bounds = [f(c).alias(f"{f.__name__}{c}") for c in ORDER for f in (F.min, F.max)]
+    sums = stored(keyed.groupBy("_none", "_name").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"), *bounds), "mix-sums")
     named = F.when(~F.col("_none"), F.col("_name")).alias("source")
-    sums = targets(parts.groupBy("_none", "_name").agg(F.sum("_sum").alias("source_size")).select(named, "source_size"))
-    sums = sums.select(F.col("source").isNull().alias("_none"), F.coalesce("source", F.lit("")).alias("_name"), "source_size", "target")
-    earlier = Window.partitionBy("_none", "_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    base = parts.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum").join(sums, ["_none", "_name"])
-    order = Window.partitionBy(*key).orderBy("_key", id, "size", "_tie")
-    until = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    found = rows.withColumn("_until", until).join(base, key)
+    goals = targets(sums.select(named, "source_size"))
+    goals = goals.select(F.col("source").isNull().alias("_none"), F.coalesce("source", F.lit("")).alias("_name"), "target")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.floor(F.col("target") - F.col("epochs") * F.col("source_size") + 0.5)
-    part = F.greatest(F.lit(0), F.least("size", rest - (F.col("_before") + F.col("_until") - F.col("size")))).cast("long")
-    found = found.withColumn("epochs", epochs).withColumn("part", part).withColumn("taken", F.col("epochs") * F.col("size") + F.col("part"))
-    return found.select(*[c for c in docs.columns if c not in new], *new)
+    rest = F.floor(F.col("target") - F.col("epochs") * F.col("source_size") + 0.5).cast("long")
+    sums = stored(sums.join(goals, ["_none", "_name"]).withColumn("epochs", epochs).withColumn("_left", rest), "mix-sums")
+    borders = _borders(keyed, sums)
+    found = _beside(rows, borders)
+    below = F.lit(False)
+    for c in reversed(ORDER):
+        below = (F.col(c) < F.col(f"min{c}")) | ((F.col(c) == F.col(f"min{c}")) & below)
+    on = F.lit(True)
+    for c in ORDER:
+        on = on & (F.col(c) == F.col(f"min{c}"))
+    found = found.withColumn("_on", on & (F.col("_left") > 0)).withColumn("_below", below & (F.col("_left") > 0))
+    if borders.filter("_n > 1 and _left > 0").isEmpty():
+        found = found.withColumn("_number", F.lit(0).cast("long"))
+    else:
+        many = F.col("_on") & (F.col("_n") > 1)
+        single = found.filter(~many).withColumn("_number", F.lit(0).cast("long"))
+        found = single.unionByName(_numbered(found.filter(many)))
+    own = F.greatest(F.lit(0), F.least("size", F.col("_left") - F.col("_number") * F.col("size")))
+    part = F.when(F.col("_below"), F.col("size")).when(F.col("_on"), own).otherwise(F.lit(0)).cast("long")
+    found = found.withColumn("part", part).withColumn("taken", F.col("epochs") * F.col("size") + F.col("part"))
+    return found.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in new], *new)
+
+
+def _beside(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """Each row with the values of its source, which a source meets in ``SALTS`` parts, not as a whole."""
+    salts = F.array(*[F.lit(i).cast("long") for i in range(SALTS)])
+    return rows.join(values.withColumn("_salt", F.explode(salts)), ["_none", "_name", "_salt"])
+
+
+def _borders(keyed: DataFrame, sums: DataFrame) -> DataFrame:
+    """``sums`` with, for each source, the border: the least and greatest of each of ``ORDER`` are one value,
+    ``_n`` rows have it, and ``_left`` words are for these. Sources that need no part keep ``_left`` below 1.
+
+    The range of a source is cut into ``PARTS`` even parts, whose words are summed;
+    the part where the words run out is the next range, from its least to its
+    greatest value, so that a range of two values or more always gets narrower.
+    Keys come first, then sizes among equal keys, then hashes of texts among
+    equal sizes. A round is one aggregation with at most ``PARTS`` rows for each
+    source.
+    """
+    group = ["_none", "_name"]
+    fixed = [c for c in sums.columns if c not in ("_n", "_left") and c[:3] not in ("min", "max")]
+    now = sums
+    for column in ORDER:
+        low, high = F.col(f"min{column}"), F.col(f"max{column}")
+        while not now.filter((F.col("_left") > 0) & (low < high)).isEmpty():
+            inside = _beside(keyed, now.filter("_left > 0").select(*group, "_left", *[f"{e}{c}" for c in ORDER for e in ("min", "max")]))
+            for c in ORDER:
+                inside = inside.filter(F.col(c).between(F.col(f"min{c}"), F.col(f"max{c}")))
+            place = F.floor((F.col(column) - low) * (F.lit(float(PARTS)) / (high - low).cast("double")))
+            place = F.when(low < high, F.least(place, F.lit(PARTS - 1))).otherwise(0).cast("int")
+            bounds = [f(c).alias(f"{f.__name__}{c}") for c in ORDER for f in (F.min, F.max)]
+            parts = inside.groupBy(*group, "_left", place.alias("_place")).agg(F.sum("size").alias("_sum"), F.count("*").alias("_n"), *bounds)
+            until = F.sum("_sum").over(Window.partitionBy(*group).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
+            parts = parts.withColumn("_until", until).filter("_until - _sum < _left and _left <= _until")
+            parts = parts.withColumn("_left", F.col("_left") - F.col("_until") + F.col("_sum")).drop("_until", "_sum", "_place")
+            narrowed = now.filter("_left > 0").select(*fixed).join(parts, group)
+            now = stored(narrowed.unionByName(now.filter("_left <= 0")), "mix-borders")
+    return now
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_number``, from 0 in each source. They are written with their task, tasks are counted, and each numbers its own."""
+    rows = stored(rows.withColumn("_task", F.spark_partition_id()), "mix-ties")
+    key = ["_none", "_name", "_task"]
+    earlier = Window.partitionBy("_none", "_name").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*key).agg(F.count("*").alias("_count"))
+    counts = counts.withColumn("_first", F.coalesce(F.sum("_count").over(earlier), F.lit(0))).drop("_count")
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))) - 1
+    return rows.withColumn("_at", place).join(counts, key).withColumn("_number", F.col("_first") + F.col("_at")).drop("_task", "_at", "_first")
 
 
 def mixture(docs: DataFrame, text: str = "text", chars: str = "n_chars", **names: str) -> DataFrame:

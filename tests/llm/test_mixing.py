@@ -95,6 +95,23 @@ def test_plan_is_native_and_whole_sources_never_meet(docs):  # noqa: F811
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
+def test_borders_in_crowds(spark):
+    """Null ids share one key, equal texts all of the order, and many digits push keys together at the far end."""
+    texts = ["a b c", "d e", "f", "1 2 3 4 5 6 77777777", "88888888888888 9", "", None]
+    given = [(None, texts[i % 7], "s") for i in range(300)] + [(None, "a b c", None)] * 200 + [(i, "9" * (i % 40) + " 1", "t") for i in range(400)]
+    frame = spark.createDataFrame([(i, t, "en", s) for i, t, s in given], "doc_id long, text string, lang string, source string").repartition(4)
+    found = mixing.digest(frame).collect()
+    got = sorted(((r.doc_id, r["size"], r.source_size, r.taken) for r in found), key=lambda r: [key(x) for x in r])
+    plain = plain_mix([(i, t, "en", s) for i, t, s in given])
+    assert got == sorted(plain, key=lambda r: [key(x) for x in r])
+
+
+def test_columns_of_every_name_stay(spark):
+    frame = spark.createDataFrame([(1, "a b", "s", 1, 2, {"k": 3}, "x")], "doc_id long, text string, source string, _key int, _row int, _n map<string,int>, part string")
+    row = mixing.mix(frame).first()
+    assert (row._key, row._row, row._n, row.part) == (1, 2, {"k": 3}, 1)
+
+
 def test_sql(spark, sf_dir):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
