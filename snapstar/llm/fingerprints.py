@@ -113,7 +113,7 @@ def neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     Null texts are empty; other columns are left out; no rows give no rows.
 
     Ids are cut at quantiles into ranges, one text shuffle deals each range to a
-    task, sorted, and the first row of a range is sent to the range before it as
+    task of its own, sorted, and the first row of a range is sent to the range before it as
     well, so that a task streams through its rows and holds two texts at a time.
     What is collected is a row for each range.
     """
@@ -140,7 +140,7 @@ def neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     dealt = (
         both.withColumn("p", F.explode(places))
         .select("p.r", "p.late", "_id", "_hash", "_text")
-        .repartition(count, "r")
+        .repartitionById(len(cuts) + 2, F.col("r").cast("int"))
         .sortWithinPartitions("r", "late", F.desc_nulls_last("_id"), F.desc("_hash"))
         .select("r", "late", "_id", "_text")
     )
