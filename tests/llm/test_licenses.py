@@ -17,7 +17,7 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 CASES = [
     ("Some text.\nReleased under the MIT License.\nMore.", "MIT", "MitRef"),
     ("Licensed under the Apache License, Version 2.0.", "Apache-2.0", "ApacheRef"),
-    ("This work is licensed under the GNU General Public License, version 3.", "GPL", "GplRef"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-only", "Gpl3Ref"),
     ("x. Licensed under CC BY-NC 4.0. y. All rights reserved.", "CC-BY-NC-4.0", "CcByNcRef,Rights"),
     (MIT, "MIT", "MitGrant,MitNotice,MitAsIs"),
     (APACHE.replace(" (x)", ""), "Apache-2.0", "ApacheRef,ApacheUse,ApacheCopy,ApacheAsIs"),
@@ -79,6 +79,44 @@ of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Publ
 You should have received a copy of the GNU General Public License along with this program{0} if not, write to the Free
 Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."""
 LGPL = GPL.replace("program", "library").replace("GNU General\n", "GNU Lesser General ").replace("GNU General", "GNU Lesser General")
+AGPL = LGPL.replace("Lesser", "Affero").replace("version 2", "version 3")
+LATER = """version 2 of the License, or (at your option) any
+later version."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+EPL = """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is
+available at https://www.eclipse.org/legal/epl-2.0/"""
+ISC = """Copyright (c) 2020, The Owner
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS."""
+BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce and distribute it, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, must be included in all copies of
+the Software, in whole or in part.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author dedicates any copyright interest in the software to the public domain.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED."""
+CC0 = """To the extent possible under law, The Owner has waived all copyright and related or neighboring rights to this work."""
 BSD = """Copyright (c) 2020, The Owner
 All rights reserved.
 
@@ -110,9 +148,25 @@ http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
 IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
 NOTICES = [
-    (GPL.format(";"), "GPL", "GplFree,GplHope,GplCopy"),
-    (GPL.format(":"), "GPL", "GplFree,GplHope,GplCopy"),
-    (LGPL.format(";"), "LGPL", "LgplFree,GplHope,LgplCopy"),
+    (GPL.format(";"), "GPL-2.0-or-later", "Gpl2Later,GplHope,GplCopy"),
+    (GPL.format(":"), "GPL-2.0-or-later", "Gpl2Later,GplHope,GplCopy"),
+    (GPL.format(":").replace("version 2", "version 3"), "GPL-3.0-or-later", "Gpl3Later,GplHope,GplCopy"),
+    (GPL.format(";").replace(LATER, "version 2."), "GPL-2.0-only", "Gpl2,GplHope,GplCopy"),
+    (GPL.format(";").replace("; either " + LATER, "."), "GPL", "GplFree,GplHope,GplCopy"),
+    (LGPL.format(";"), "LGPL-2.0-or-later", "Lgpl2Later,GplHope,LgplCopy"),
+    (LGPL.format(";").replace("version 2", "version 2.1"), "LGPL-2.1-or-later", "Lgpl21Later,GplHope,LgplCopy"),
+    (LGPL.format(";").replace(LATER, "version 2.1."), "LGPL-2.1-only", "Lgpl21,GplHope,LgplCopy"),
+    (LGPL.format(";").replace("version 2", "version 3"), "LGPL-3.0-or-later", "Lgpl3Later,GplHope,LgplCopy"),
+    (LGPL.format(";").replace("; either " + LATER, "."), "LGPL", "LgplFree,GplHope,LgplCopy"),
+    (AGPL.format(":"), "AGPL-3.0-or-later", "Agpl3Later,GplHope,AgplCopy"),
+    (MPL, "MPL-2.0", "Mpl2Form,Mpl2Copy"),
+    (EPL, "EPL-2.0", "Epl2Form"),
+    (ISC, "ISC", "IscGrant,IscNotice,IscAsIs"),
+    (ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", ""), "0BSD", "IscGrant,IscAsIs"),
+    (BOOST, "BSL-1.0", "BoostGrant,BoostNotice,MitAsIs"),
+    (ZLIB, "Zlib", "ZlibAsIs,ZlibGrant,ZlibOrigin,ZlibAltered,ZlibNotice"),
+    (UNLICENSE, "Unlicense", "UnlicenseFree,UnlicenseAnyone,MitAsIs"),
+    (CC0, "CC0-1.0", "Cc0Waiver"),
     (BSD.format(""), "BSD-2-Clause", "Rights,BsdGrant,BsdSource,BsdBinary,BsdAsIs"),
     (BSD.format(NAME), "BSD-3-Clause", "Rights,BsdGrant,BsdSource,BsdBinary,BsdName,BsdAsIs"),
     (FULL_MIT, "MIT", "MitGrant,MitNotice,MitAsIs"),
@@ -120,9 +174,12 @@ NOTICES = [
 ]
 WITHIN = [
     ("This project is licensed under the MIT License and comes as it is.", "MIT", "MitRef"),
-    ("A tool\nlicensed under the GNU General Public License, version 3.0, by us", "GPL", "GplRef"),
+    ("A tool\nlicensed under the GNU General Public License, version 3.0, by us", "GPL-3.0-only", "Gpl3Ref"),
     ("Released under the MIT License\nText is licensed under CC BY 4.0\nAll rights\nreserved\nNext", "CC-BY-4.0,MIT", "MitRef,CcByRef,Rights"),
     ("It is not licensed under the MIT License. Licensed under the Apache License, Version 2.1", "", ""),
+    ("Licensed under the GNU General Public License, version 2 or later, by us.", "GPL-2.0-or-later", "Gpl2LaterRef"),
+    ("Code is released under the ISC license. Data: released under CC0.", "CC0-1.0,ISC", "IscRef,Cc0Ref"),
+    ("Anyone is free to copy this. It was distributed and altered.", "", ""),
 ]
 
 
