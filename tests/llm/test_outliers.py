@@ -1,5 +1,6 @@
+import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -63,9 +64,9 @@ def test_clean_documents_stay_and_junk_goes(spark, judged):
     assert all(r.kept for r in clean) and not any(r.kept for r in junk)
 
 
-def plain_distances(x):
+def plain_distances(x, least=outliers.STATISTICS):
     """The same estimate with arrays."""
-    floor = np.diag([v * v for v in outliers.STATISTICS.values()])
+    floor = np.diag([v * v for v in least.values()])
 
     def middle(a, share):
         a = np.sort(a)
@@ -78,7 +79,69 @@ def plain_distances(x):
         last = d
         near = x[d <= middle(d, outliers.SUBSET)]
         centre, cov = near.mean(0), np.cov(near.T, bias=True)
-    return last / max(1, middle(last, 0.5) / outliers.MEDIAN)
+    return last / max(1, middle(last, 0.5) / outliers.MEDIANS[len(least)])
+
+
+def plain_vector(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, chars, symbols, dup, repeated, _ = plain(text)
+    doubled = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    shares = [100 * symbols / (n + 30), 20 * dup / (len(lines) + 10), 20 * repeated / (n + 30), 20 * doubled / (n + 30)]
+    return [math.log((chars + 6 * 30) / (n + 30)), *map(math.log1p, shares)]
+
+
+def plain_judge(docs):
+    """Distance and verdict of each (id, text, lang, source); a failure of the base rules has no distance."""
+    found, members = {}, defaultdict(list)
+    for id, text, lang, source in docs:
+        if plain(text)[-1]:
+            found[id] = (None, False)
+        else:
+            members[lang, source].append((id, plain_vector(text)))
+    small = [one for own in members.values() if len(own) < outliers.LEAST_ROWS for one in own]
+    for own in [small, *(own for own in members.values() if len(own) >= outliers.LEAST_ROWS)]:
+        if own:
+            far = plain_distances(np.array([v for _, v in own]), outliers.JUDGED)
+            found |= {id: (d, bool(d <= outliers.CUTOFF)) for (id, _), d in zip(own, far, strict=True)}
+    return found
+
+
+def agree(frame, data):
+    expected = plain_judge(data)
+    found = {r.doc_id: (r.distance, r.kept) for r in outliers.judge(frame).collect()}
+    assert found.keys() == expected.keys()
+    for id, (distance, kept) in expected.items():
+        assert found[id][1] == kept, id
+        assert found[id][0] == distance or math.isclose(found[id][0], distance, rel_tol=1e-6, abs_tol=1e-9), id
+    return expected
+
+
+def test_verdict_against_arrays(spark):
+    """Five statistics on a whole table; its groups are all small, so that three sources are taken as one to have larger ones."""
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    frame = frame.replace({"src1": "three", "src7": "three", "src11": "three"}, subset="source")
+    data = [tuple(r) for r in frame.collect()]
+    expected = agree(frame, data)
+    sizes = Counter((lang, source) for id, _, lang, source in data if expected[id][0] is not None)
+    assert min(sizes.values()) < outliers.LEAST_ROWS <= max(sizes.values())
+
+
+def test_verdict_at_the_least_group(spark):
+    """49 documents go to the common group, 50 have their own; a null language or source is a value of its own."""
+    rand = np.random.default_rng(7)
+    vocabulary = ["tree", "river", "of", "a", "stone", "morning", "walked", "under", "#", "blue"]
+    groups = [("en", "web", 49), ("en", None, 50), (None, "web", 12), ("de", "web", 80)]
+    data = []
+    for lang, source, size in groups:
+        for _ in range(size):
+            n = int(rand.integers(12, 90))
+            text = "\n".join(" ".join(rand.choice(vocabulary, 8)) for _ in range(n // 8 + 2))
+            data.append((len(data), text, lang, source))
+    data[3] = (3, "# % & | " * 2 + "one two three four five six seven eight nine $$$$$$ <<<<>>>>", "en", "web")
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    expected = agree(frame, data)
+    assert sum(d is not None for d, _ in expected.values()) > 150 and not expected[3][1]
 
 
 def test_distances_against_arrays(spark):
