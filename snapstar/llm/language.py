@@ -147,8 +147,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (0 to 1), from the whole text alone.
 
     A null text, or one without a letter, is ``und`` with score 0, and so is
-    every text for a model that knows no language. Columns of these names are
-    replaced, all others kept.
+    every text for a model that knows no language. Of languages with equal votes
+    and chances the first by code point wins. A repeated row appears as often as
+    it is given, with the same result; an empty table gives no rows. Columns of
+    these names are replaced, all others kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size depends on the languages alone
 

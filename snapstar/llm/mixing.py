@@ -165,7 +165,10 @@ def mixture(docs: DataFrame, text: str = "text", chars: str = "n_chars", **names
     """The documents of the mix, in the columns of ``docs``: a row for each epoch, and one for a part.
 
     A part that isn't the whole document is its first words, joined by spaces, and
-    has ``chars``, if there is such a column, set to its length.
+    has ``chars``, if there is such a column, set to its length. Null texts and
+    texts without words count no words and come with whole epochs only; a null
+    source is one source, and ties and repeated rows go as in ``mix``. An empty
+    table gives no rows.
     """
     mixed = mix(docs.select("*", *[F.col(c).alias(f"_own_{c}") for c in docs.columns]), text=text, **names)
     copies = F.concat(

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -118,3 +119,16 @@ def test_sql(spark, sf_dir):
     expected = sorted(con.execute(mixing.SQL).fetchall())
     found = mixing.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_texts_without_words_come_with_whole_epochs(spark):
+    """A lone source is taken once and a half; of three equal ones the last gets less than its size, and leaves them out."""
+    data = [(1, "a b c d", "x"), (2, None, "x"), (2, None, "x"), (3, " \n", "x"), (4, "e f", None)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string")
+    one = frame.filter("source = 'x'")
+    assert sorted(r.doc_id for r in mixing.mixture(one).collect() if r.doc_id != 1) == [2, 2, 3]
+    taken = {r.doc_id: (r.size, r.epochs, r.taken) for r in mixing.mix(one).collect()}
+    assert taken == {1: (4, 1, 6), 2: (0, 1, 0), 3: (0, 1, 0)}
+    three = [(i, "f " * 100, s) for i, s in enumerate("xyz")] + [(3, None, "y"), (4, None, "z")]
+    found = Counter(r.doc_id for r in mixing.mixture(spark.createDataFrame(three, frame.schema)).collect())
+    assert (found[0], found[1], found[2], found[3], found[4]) == (2, 2, 1, 1, 0)
