@@ -35,7 +35,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them; null sources are one source, texts without words are left out."""
+    """Documents as often as the mix of sources takes them; null sources are one source.
+
+    Texts without words, null ones too, come with whole epochs only. Repeated rows count each on their own; all columns stay.
+    """
     return mixing.mixture(docs)
 
 
