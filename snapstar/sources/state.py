@@ -40,7 +40,10 @@ def save_ids(spark: SparkSession, ids: DataFrame, path: str) -> str:
 
 
 def add_ids(spark: SparkSession, new: DataFrame, path: str) -> str:
-    """Add ids that are not tracked yet; returns the folder written. The base is read and written once in ``MERGED`` runs only."""
+    """Add ids that are not tracked yet; returns the folder written. The base is read and written once in ``MERGED`` runs only.
+
+    The new ids are rebalanced into few files, so that what finds them keeps its tasks.
+    """
     versions = _versions(spark, path)
     if not versions:
         return save_ids(spark, new, path)
@@ -49,7 +52,7 @@ def add_ids(spark: SparkSession, new: DataFrame, path: str) -> str:
     if len(deltas) + 1 >= MERGED:
         return save_ids(spark, load_ids(spark, path).unionByName(new.select("movie_id")), path)
     folder = f"{path}/delta={versions[-1]}-{last + 1}"
-    new.select("movie_id").coalesce(1).write.mode("overwrite").parquet(folder)
+    new.select("movie_id").hint("rebalance").write.mode("overwrite").parquet(folder)
     return folder
 
 

@@ -253,3 +253,11 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(marts).count() == 1
     assert run(spark, arguments(["land", "--files", files, "--raw", f"{tmp_path}/raw", *day])).first().landed == 0
     assert arguments(["checks", "--root", "r", "--database", "d"]).date == str(dt.date.today())
+
+
+def test_new_ids_keep_their_tasks(spark, root):
+    path = f"{root}/state"
+    save_ids(spark, spark.range(3).toDF("movie_id"), path)
+    add_ids(spark, spark.range(3, 20_003, 1, 4).selectExpr("id + 100000L * spark_partition_id() as movie_id"), path)
+    assert load_ids(spark, path).count() == 20_003
+    assert load_ids(spark, path).selectExpr("movie_id div 100000").distinct().count() == 4  # not all in one task
