@@ -1,0 +1,10 @@
+"""How the input of the queries is made."""
+
+from snapstar.catalog import shapes
+
+
+def test_files_are_written_by_tasks(spark, root):
+    rows = spark.createDataFrame([("a=1", "x y.txt", "1"), ("a=1", "x y.txt", "2"), ("a=2", "z.txt", None), ("a=2", None, "3")], "folder string, name string, value string")
+    shapes.write_files(rows, f"file:{root}/files")
+    found = {r.path.split("/files/")[1]: r.value for r in spark.read.option("recursiveFileLookup", True).text(f"{root}/files", wholetext=True).selectExpr("_metadata.file_path as path", "value").collect()}
+    assert {k.replace("%20", " "): sorted(v.split("\n")) for k, v in found.items() if "HIVE" not in k} == {"a=1/x y.txt": ["", "1", "2"], "a=2/z.txt": ["", ""]}

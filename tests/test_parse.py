@@ -5,6 +5,7 @@ import json
 
 import pytest
 from conftest import plan_of, rows_of
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from snapstar.functions.columns import day_from_path, lookback, run_date, safe_date
@@ -142,3 +143,14 @@ def test_one_day_prunes_partitions(spark, root):
     raw(spark, ["{}"]).write.partitionBy("snapshot_date").parquet(root + "/t")
     plan = plan_of(one_day(read_table(spark, root + "/t", RAW_DDL), "2026-04-08"))
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_many_files_have_folders_as_root_paths(spark, tmp_path):
+    write_files(tmp_path, {f"snapshot_date=2026-04-0{d}/movie_id={i}.json": f'{{\n "id": {i}\n}}' for d in (5, 6) for i in (1, 2)})
+    write_files(tmp_path, {"snapshot_date=2026-04-05/window=a/movie_id=9.json": '{"id": 9, "late": 1}', "snapshot_date=2026-04-05/other.json": "{}"})
+    documents = read_inferred(spark, f"{tmp_path}/snapshot_date=*/movie_id=*.json", "2026-04-05")
+    assert documents.columns == ["id", "snapshot_date"]
+    assert sorted(r.id for r in documents.collect()) == [1, 1, 2, 2]
+    assert "InMemoryFileIndex(2 paths)" in plan_of(documents)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_inferred(spark, f"{tmp_path}/snapshot_date=*/film=*.json")
