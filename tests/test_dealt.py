@@ -1,8 +1,20 @@
-"""How the input of the queries is made."""
+"""Input that becomes large documents is dealt to even tasks."""
+
+from pyspark.sql import functions as F
 
 from snapstar.catalog import shapes
 
 
+def test_rows_are_dealt_in_order_to_even_tasks(spark, root, monkeypatch):
+    monkeypatch.setattr(shapes, "DEALT", 1000)
+    spark.range(10_000).coalesce(1).write.parquet(f"{root}/rows")
+    dealt = shapes.dealt(spark.read.parquet(f"{root}/rows")).withColumn("task", F.spark_partition_id())
+    tasks = dealt.groupBy("task").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).collect()
+    assert sum(t.n for t in tasks) == 10_000
+    assert max(t.n for t in tasks) < 2500
+    assert all(t.b - t.a + 1 == t.n for t in tasks)
+
+
 def test_files_are_written_by_tasks(spark, root):
     rows = spark.createDataFrame([("a=1", "x y.txt", "1"), ("a=1", "x y.txt", "2"), ("a=2", "z.txt", None), ("a=2", None, "3")], "folder string, name string, value string")
     shapes.write_files(rows, f"file:{root}/files")
