@@ -1,8 +1,12 @@
 """Input that becomes large documents is dealt to even tasks."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from snapstar.catalog import shapes
+from snapstar.sinks import write
+from snapstar.sinks.publish import publish_table
 
 
 def test_rows_are_dealt_in_order_to_even_tasks(spark, root, monkeypatch):
@@ -20,3 +24,29 @@ def test_files_are_written_by_tasks(spark, root):
     shapes.write_files(rows, f"file:{root}/files")
     found = {r.path.split("/files/")[1]: r.value for r in spark.read.option("recursiveFileLookup", True).text(f"{root}/files", wholetext=True).selectExpr("_metadata.file_path as path", "value").collect()}
     assert {k.replace("%20", " "): sorted(v.split("\n")) for k, v in found.items() if "HIVE" not in k} == {"a=1/x y.txt": ["", "1", "2"], "a=2/z.txt": ["", ""]}
+
+
+def test_raw_texts_are_made_in_even_tasks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(shapes, "DEALT", 1000)
+    films = shapes.raw_films(spark, sf_dir).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(films) >= 6 and max(r["count"] for r in films) < 2500
+
+
+def test_rows_are_sorted_by_day_before_they_are_texts(spark, sf_dir):
+    plan = shapes.raw_films(spark, sf_dir, by_day=True)._jdf.queryExecution().optimizedPlan()
+    # What a write by days asks for, so that it adds no sort of its own.
+    assert "snapshot_date" in plan.outputOrdering().toString()
+    assert plan.toString().index("to_json") < plan.toString().index("Sort [")
+
+
+def test_tables_are_stored_with_zstd(spark, root):
+    rows = spark.range(4).selectExpr("id", "date'2026-04-08' as snapshot_date")
+    write.append(rows, f"{root}/a")
+    write.append_days(rows, f"{root}/b")
+    write.replace_days(rows, f"{root}/c")
+    write.replace_day(rows, f"{root}/d", "2026-04-08")
+    write.overwrite(rows, f"{root}/e", by="snapshot_date")
+    publish_table(spark, rows, "zstd_rows", location=f"{root}/f")
+    files = [p.name for p in Path(root).rglob("part-*.parquet")]
+    assert len(files) >= 6 and all(".zstd." in f for f in files)
+    spark.sql("drop table zstd_rows")
