@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from snapstar.catalog import shapes
 from snapstar.sinks import write
 from snapstar.sinks.publish import publish_table
+from snapstar.sources.discovery import listed, read_pages
 
 
 def test_rows_are_dealt_in_order_to_even_tasks(spark, root, monkeypatch):
@@ -59,3 +60,10 @@ def test_tables_are_stored_with_zstd(spark, root):
     files = [p.name for p in Path(root).rglob("part-*.parquet")]
     assert len(files) >= 6 and all(".zstd." in f for f in files)
     spark.sql("drop table zstd_rows")
+
+
+def test_no_filter_is_made_for_each_page(spark, root):
+    shapes.write_files(spark.createDataFrame([("snapshot_date=2026-04-08", f"page={n}.json", v) for n, v in enumerate(['{"results": [{"id": 1}, {"id": 2}]}', '{"results": []}', "{}"])], "folder string, name string, value string"), f"{root}/pages")
+    entries = listed(read_pages(spark, f"{root}/pages"))
+    assert sorted(r.id for r in entries.collect()) == [1, 2]
+    assert "PushedFilters: []" in entries._jdf.queryExecution().executedPlan().toString()
