@@ -64,7 +64,7 @@ def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *
     and documents whose file is gone stay; texts are neither ranked nor read twice.
     """
     if str(run_date(day)) not in partition_values(spark, landed_path, DAY):
-        return _add(_large(read_raw_files(spark, raw_root, day), file_paths(spark, raw_root, day)), landed_path)
+        return _add(read_raw_files(spark, raw_root, day), landed_path)
     with workspace(spark):
         if replace:
             return _replace_files(spark, raw_root, landed_path, day)
@@ -79,7 +79,7 @@ def _replace_files(spark: SparkSession, raw_root: str, landed_path: str, day: Da
     there = file_paths(spark, raw_root, day)
     gone = stored(landed.select("source_file").join(there, "source_file", "left_anti").distinct(), "gone-files")
     seen, files = Observation(), read_raw_files(spark, raw_root, day).select(*FILE_COLUMNS)
-    rows = _large(files, there).observe(seen, F.count("*").alias("n"))
+    rows = files.observe(seen, F.count("*").alias("n"))
     if not gone.isEmpty():
         same = landed["source_file"].eqNullSafe(gone["source_file"])
         rows = rows.unionByName(landed.join(gone, same, "left_semi"))

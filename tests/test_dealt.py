@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from snapstar.catalog import shapes
 from snapstar.sinks import write
 from snapstar.sinks.publish import publish_table
+from snapstar.sources import tables
 from snapstar.sources.discovery import listed, read_pages
+from snapstar.sources.raw import file_paths, named_files, read_raw_files
 
 
 def test_rows_are_dealt_in_order_to_even_tasks(spark, root, monkeypatch):
@@ -67,3 +69,25 @@ def test_no_filter_is_made_for_each_page(spark, root):
     entries = listed(read_pages(spark, f"{root}/pages"))
     assert sorted(r.id for r in entries.collect()) == [1, 2]
     assert "PushedFilters: []" in entries._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_files_are_read_in_few_tasks(spark, root):
+    made = spark.range(200).selectExpr("'snapshot_date=2026-04-08' as folder", "concat('movie_id=', id, '.json') as name", "concat('{\"id\": ', id, '}') as value")
+    shapes.write_files(made, f"{root}/files")
+    pattern = f"{root}/files/snapshot_date=*/movie_id=*.json"
+    raw, paths = read_raw_files(spark, f"{root}/files"), file_paths(spark, f"{root}/files", "2026-04-08")
+    for rows in (raw, read_raw_files(spark, f"{root}/files", "2026-04-08"), paths, named_files(spark, pattern), named_files(spark, pattern, "id bigint")):
+        assert rows.count() == 200 and rows.rdd.getNumPartitions() <= 4
+    write.append(raw, f"{root}/flat")
+    assert len(list(Path(f"{root}/flat").glob("part-*.parquet"))) <= 4
+
+
+def test_gathered_rows_keep_tasks_for_their_bytes_and_files(spark, root, monkeypatch):
+    spark.range(600).repartition(12).write.parquet(f"{root}/rows")
+    rows = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/rows").repartition(12)
+    tasks = lambda: tables.gathered(rows, f"{root}/r*s").rdd.getNumPartitions()
+    assert tasks() == 4
+    monkeypatch.setattr(tables, "TASK_FILES", 2)
+    assert tasks() > 6
+    monkeypatch.setattr(tables, "TASK_BYTES", 1)
+    assert tasks() == 12
