@@ -1,10 +1,13 @@
 """Input that becomes large documents is dealt to even tasks."""
 
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from snapstar.catalog import shapes
+from snapstar.plans import daily
+from snapstar.session import SHUFFLES_GO, shuffles_removed
 from snapstar.sinks import write
 from snapstar.sinks.publish import publish_table
 from snapstar.sources import tables
@@ -91,3 +94,37 @@ def test_gathered_rows_keep_tasks_for_their_bytes_and_files(spark, root, monkeyp
     assert tasks() > 6
     monkeypatch.setattr(tables, "TASK_BYTES", 1)
     assert tasks() == 12
+
+
+def test_large_pages_make_texts_small(spark, root):
+    # Texts of 2 kB, of which each comes again after 1.4 MB.
+    texts = spark.range(7000).coalesce(1).select(F.expr("repeat(sha2(string(id % 700), 256), 32)").alias("text"))
+    write.overwrite(texts, f"{root}/large")
+    texts.write.option("compression", "zstd").parquet(f"{root}/plain")
+    large, plain = (sum(p.stat().st_size for p in Path(f"{root}/{n}").glob("part-*")) for n in ("large", "plain"))
+    assert large < 0.7 * plain
+
+
+def test_no_shuffle_stays_after_its_write(spark, root):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    there = lambda: {p.name for f in folders for p in Path(f).rglob("shuffle_*")}
+    rows = spark.range(10_000).groupBy((F.col("id") % 5000).alias("k")).count()
+    before = there()
+    with shuffles_removed(spark):
+        rows.write.parquet(f"{root}/rows")
+        until = time.time() + 20
+        while there() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not there() - before
+    assert spark.conf.get(SHUFFLES_GO) == "false"
+    assert spark.read.parquet(f"{root}/rows").count() == 5000
+
+
+def test_a_day_runs_without_shuffles_that_stay(spark, root, monkeypatch):
+    seen = []
+    for step in ("parse_landed", "build_silver", "run_publish", "run_marts"):
+        monkeypatch.setattr(daily, step, lambda *args, **options: seen.append(spark.conf.get(SHUFFLES_GO)))
+    for folder in ("raw", "parsed", "silver", "audit"):
+        write.append_days(spark.range(1).selectExpr("id", "date'2026-04-08' as snapshot_date"), f"{root}/{folder}")
+    daily.run_after_landing(spark, root, "none", "2026-04-08")
+    assert seen == ["true"] * 4
