@@ -96,6 +96,11 @@ def test_gathered_rows_keep_tasks_for_their_bytes_and_files(spark, root, monkeyp
     assert tasks() == 12
 
 
+def test_documents_of_files_are_made_in_even_tasks(spark, sf_dir):
+    lines = shapes.customer_lines(spark, sf_dir).groupBy(F.spark_partition_id()).count().collect()
+    assert len(lines) == 4 and max(r["count"] for r in lines) < 0.5 * sum(r["count"] for r in lines)
+
+
 def test_large_pages_make_texts_small(spark, root):
     # Texts of 2 kB, of which each comes again after 1.4 MB.
     texts = spark.range(7000).coalesce(1).select(F.expr("repeat(sha2(string(id % 700), 256), 32)").alias("text"))
