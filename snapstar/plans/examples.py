@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from snapstar.functions.columns import Day
 from snapstar.operators.explode import explode_child
 from snapstar.schemas import CHILDREN, MOVIE_FIELDS, names
+from snapstar.session import workspace
 from snapstar.sinks.write import append
 from snapstar.sources.raw import read_inferred
 
@@ -40,9 +41,11 @@ def flatten_file(spark: SparkSession, path: str, out_root: str, day: Day) -> Non
     """Flatten documents, schema inferred, into 11 tables.
 
     Text has no columns to prune: each table would parse every document again,
-    so here the parsed rows are kept, on disk where memory ends.
+    so here the parsed rows are kept, on disk where memory ends. The stored texts
+    of the files go at the end.
     """
-    documents = read_inferred(spark, path, day).persist(StorageLevel.MEMORY_AND_DISK)
-    for name, rows in flatten_documents(documents).items():
-        append(rows, f"{out_root}/{name}")
-    documents.unpersist()
+    with workspace(spark):
+        documents = read_inferred(spark, path, day, once=True).persist(StorageLevel.MEMORY_AND_DISK)
+        for name, rows in flatten_documents(documents).items():
+            append(rows, f"{out_root}/{name}")
+        documents.unpersist()

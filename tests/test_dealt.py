@@ -1,18 +1,21 @@
 """Input that becomes large documents is dealt to even tasks."""
 
+import shutil
 import time
 from pathlib import Path
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from snapstar.catalog import shapes
-from snapstar.plans import daily
+from snapstar.catalog import nested, shapes
+from snapstar.plans import daily, examples
 from snapstar.session import SHUFFLES_GO, shuffles_removed
 from snapstar.sinks import write
 from snapstar.sinks.publish import publish_table
 from snapstar.sources import tables
 from snapstar.sources.discovery import listed, read_pages
-from snapstar.sources.raw import file_paths, named_files, read_raw_files
+from snapstar.sources.raw import file_paths, named_files, read_inferred, read_raw_files
 
 
 def test_rows_are_dealt_in_order_to_even_tasks(spark, root, monkeypatch):
@@ -101,6 +104,29 @@ def test_documents_of_files_are_made_in_even_tasks(spark, sf_dir):
     assert len(lines) == 4 and max(r["count"] for r in lines) < 0.5 * sum(r["count"] for r in lines)
 
 
+def test_files_of_an_inferred_schema_are_opened_once(spark, root):
+    texts = ['{"id": 1, "a": {"b": 1.5}}', '[{"id": 2}, {"id": 3, "c": "x"}]', "{bad", "", '{"id": 4,\n "a": null}']
+    made = spark.createDataFrame([("snapshot_date=2026-04-08", f"movie_id={n}.json", v) for n, v in enumerate(texts)], "folder string, name string, value string")
+    shapes.write_files(made, f"{root}/files")
+    pattern = f"{root}/files/snapshot_date=*/movie_id=*.json"
+    plain = spark.read.option("multiLine", True).json(pattern)
+    expected = sorted(map(str, plain.collect()))
+    documents = read_inferred(spark, pattern, "2026-04-05", once=True).drop("snapshot_date")
+    shutil.rmtree(f"{root}/files")
+    assert documents.dtypes == plain.dtypes
+    assert sorted(map(str, documents.collect())) == expected
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        Path(f"{root}/files").mkdir()
+        read_inferred(spark, f"{root}/files/film=*.json", once=True)
+
+
+def test_the_prototype_opens_its_files_once(spark, sf_dir, root, monkeypatch):
+    seen = []
+    monkeypatch.setattr(examples, "read_inferred", lambda *args, **options: seen.append(options) or read_inferred(*args, **options))
+    examples.flatten_file(spark, f"{nested.write_customer_files(spark, sf_dir)}/snapshot_date=*/movie_id=*.json", f"{root}/flat", "2026-04-05")
+    assert seen == [{"once": True}] and spark.read.parquet(f"{root}/flat/movies").count() == 150
+
+
 def test_large_pages_make_texts_small(spark, root):
     # Texts of 2 kB, of which each comes again after 1.4 MB.
     texts = spark.range(7000).coalesce(1).select(F.expr("repeat(sha2(string(id % 700), 256), 32)").alias("text"))
