@@ -150,3 +150,16 @@ def test_a_day_runs_without_shuffles_that_stay(spark, root, monkeypatch):
         write.append_days(spark.range(1).selectExpr("id", "date'2026-04-08' as snapshot_date"), f"{root}/{folder}")
     daily.run_after_landing(spark, root, "none", "2026-04-08")
     assert seen == ["true"] * 4
+
+
+def test_documents_go_when_no_later_step_reads_them(spark, root, monkeypatch):
+    there, seen = lambda: [p.name for p in (Path(root) / "raw", Path(root) / "parsed") if list(p.rglob("*04-08/*.parquet"))], []
+    for step in ("parse_landed", "build_silver", "run_publish", "run_marts"):
+        monkeypatch.setattr(daily, step, lambda *args, **options: seen.append(there()))
+    for folder in ("raw", "parsed", "silver", "audit"):
+        write.append_days(spark.range(2).selectExpr("id", "date_add(date'2026-04-07', int(id)) as snapshot_date"), f"{root}/{folder}")
+    daily.run_after_landing(spark, root, "none", "2026-04-08", keep=False)
+    assert seen == [["raw", "parsed"], ["parsed"], [], []]
+    assert all(tables.partition_values(spark, f"{root}/{folder}", "snapshot_date") == ["2026-04-07"] for folder in ("raw", "parsed"))
+    with pytest.raises(ValueError, match="needs its documents"):
+        daily.run_after_landing(spark, root, "none", "2026-04-08", keep=False, resume=True)
