@@ -18,7 +18,7 @@ from snapstar.plans.marts import create_views
 from snapstar.plans.models import MODELS
 from snapstar.plans.silver import daily_fact, movies, silver_table
 from snapstar.schemas import HISTORY_TABLES, SILVER_TABLES, SOURCES
-from snapstar.session import scratch, shuffles_removed, stored
+from snapstar.session import scratch, shuffles_removed, stored, workspace
 from snapstar.sinks.publish import publish
 from snapstar.sinks.write import PACKED, append, append_days, balanced, replace_days
 from snapstar.sources.tables import one_day, partition_values, read_if_exists, read_table
@@ -124,13 +124,16 @@ def _staged_database(spark: SparkSession, sf_dir: str) -> str:
     """The silver tables that views read, published.
 
     Documents are stored, as in the parsed table, since each table reads its columns
-    of them, and so are the films, which the fact has its rows from.
+    of them, and so are the films, which the fact has its rows from. Both go when the
+    tables are published, and each shuffle with the write that needs it.
     """
-    database, documents = database_name(), stored(films(spark, sf_dir), "documents", **PACKED)
-    tables = {t: silver_table(documents, t) for t in SOURCES if t not in FILM_TABLES}
-    tables["movies"] = stored(movies(documents), "films", **PACKED)
-    tables["fact_movie_daily_snapshot"] = daily_fact(tables["movies"])
-    publish(spark, tables, database, scratch(spark, "published"))
+    database, location = database_name(), scratch(spark, "published")
+    with workspace(spark), shuffles_removed(spark):
+        documents = stored(films(spark, sf_dir), "documents", **PACKED)
+        tables = {t: silver_table(documents, t) for t in SOURCES if t not in FILM_TABLES}
+        tables["movies"] = stored(movies(documents), "films", **PACKED)
+        tables["fact_movie_daily_snapshot"] = daily_fact(tables["movies"])
+        publish(spark, tables, database, location)
     return database
 
 

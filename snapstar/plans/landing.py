@@ -12,7 +12,8 @@ from snapstar.plans.marts import merge_days
 from snapstar.schemas import RAW_DDL
 from snapstar.session import stored, workspace
 from snapstar.sinks.write import DAY, append_days, balanced, replace_days
-from snapstar.sources.raw import file_paths, read_raw_files, slice_of
+from snapstar.sources import files
+from snapstar.sources.raw import file_paths, read_listed, read_raw_files
 from snapstar.sources.tables import one_day, partition_values, read_or_empty, read_table
 
 #: What makes a document: its path. The id in it may be anything, and is null in the table if it is no number.
@@ -50,17 +51,20 @@ def land(
 def absent_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day) -> DataFrame:
     """The day's files that were not landed yet, (source_file, length). No file is opened for that."""
     landed = one_day(read_or_empty(spark, landed_path, RAW_DDL), day).select("source_file")
-    return file_paths(spark, raw_root, day).join(landed, "source_file", "left_anti")
+    return file_paths(spark, raw_root, day).join(_joined(landed), "source_file", "left_anti")
+
+
+def _joined(paths: DataFrame) -> DataFrame:
+    """Paths to join. Very many of them are not broadcast, for which the driver holds them: Spark goes by their compressed size."""
+    return paths.hint("merge") if paths.count() > files.LISTED else paths
 
 
 def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *, replace: bool = False) -> int:
     """Land one day's files in the raw table, whose few large files replace the many small ones. Returns how many.
 
     A first run reads the day's folder as it is. Later, the paths that are absent
-    are a table of their own, and only files in a slice with such a path are
-    opened; to the driver come the numbers of these slices. Texts are shuffled only
-    where Spark finds both the absent and the other files too many to broadcast
-    their paths. With ``replace`` each file takes the place of its landed document,
+    are a table of their own, and only these files, or those in a slice with such a
+    path, are opened (``read_listed``). With ``replace`` each file takes the place of its landed document,
     and documents whose file is gone stay; texts are neither ranked nor read twice.
     """
     if str(run_date(day)) not in partition_values(spark, landed_path, DAY):
@@ -69,17 +73,18 @@ def land_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day, *
         if replace:
             return _replace_files(spark, raw_root, landed_path, day)
         absent = stored(absent_files(spark, raw_root, landed_path, day), "absent-files")
-        slices = [r[0] for r in absent.select(slice_of("source_file")).distinct().collect()]
-        files = read_raw_files(spark, raw_root, day, slices).join(absent, "source_file", "left_semi")
-        return _add(_large(files.select(*FILE_COLUMNS), absent), landed_path) if slices else 0
+        if absent.isEmpty():
+            return 0
+        new = read_listed(spark, raw_root, day, absent)
+        return _add(_large(new.select(*FILE_COLUMNS), absent), landed_path)
 
 
 def _replace_files(spark: SparkSession, raw_root: str, landed_path: str, day: Day) -> int:
     landed = one_day(read_table(spark, landed_path, RAW_DDL), day)
-    there = file_paths(spark, raw_root, day)
+    there = _joined(file_paths(spark, raw_root, day))
     gone = stored(landed.select("source_file").join(there, "source_file", "left_anti").distinct(), "gone-files")
-    seen, files = Observation(), read_raw_files(spark, raw_root, day).select(*FILE_COLUMNS)
-    rows = files.observe(seen, F.count("*").alias("n"))
+    seen, new = Observation(), read_raw_files(spark, raw_root, day).select(*FILE_COLUMNS)
+    rows = new.observe(seen, F.count("*").alias("n"))
     if not gone.isEmpty():
         same = landed["source_file"].eqNullSafe(gone["source_file"])
         rows = rows.unionByName(landed.join(gone, same, "left_semi"))

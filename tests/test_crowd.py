@@ -7,7 +7,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from snapstar.plans.landing import land_files
+from conftest import plan_of
+from snapstar.plans.landing import absent_files, land_files
 from snapstar.schemas import RAW_DDL
 from snapstar.sources import files
 from snapstar.sources.discovery import listed, missing_pages, read_pages
@@ -142,3 +143,12 @@ def test_the_driver_is_left_out_of_large_folders(spark, odd, monkeypatch):
     for rows in (read_raw_files(spark, odd), file_paths(spark, odd, DAY), named_files(spark, f"{odd}/snapshot_date=*/movie_id=*.json", "id bigint")):
         assert not rows.inputFiles() and "LocalRelation" in plan(rows) or "LogicalRDD" in plan(rows)
         assert "movie_id=1.json" not in plan(rows)
+
+
+def test_very_many_paths_are_not_broadcast(spark, odd, root, monkeypatch):
+    monkeypatch.setattr(files, "LISTED", 5)
+    assert land_files(spark, odd, f"{root}/raw", DAY) == 12
+    absent = absent_files(spark, odd, f"{root}/raw", DAY)
+    assert "Broadcast" not in plan_of(absent) and absent.count() == 0
+    monkeypatch.setattr(files, "LISTED", 1 << 40)
+    assert "Broadcast" in plan_of(absent_files(spark, odd, f"{root}/raw", DAY))
