@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from snapstar.catalog import nested, shapes
+from snapstar.catalog import nested, publishing, shapes
 from snapstar.plans import daily, examples
 from snapstar.session import SHUFFLES_GO, shuffles_removed
 from snapstar.sinks import write
@@ -163,3 +163,14 @@ def test_documents_go_when_no_later_step_reads_them(spark, root, monkeypatch):
     assert all(tables.partition_values(spark, f"{root}/{folder}", "snapshot_date") == ["2026-04-07"] for folder in ("raw", "parsed"))
     with pytest.raises(ValueError, match="needs its documents"):
         daily.run_after_landing(spark, root, "none", "2026-04-08", keep=False, resume=True)
+
+
+def test_a_staged_database_leaves_its_tables_only(spark, sf_dir, monkeypatch):
+    seen = []
+    load = publishing.publish
+    monkeypatch.setattr(publishing, "publish", lambda *args, **options: seen.append((spark.conf.get(SHUFFLES_GO), options)) or load(*args, **options))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+    database = publishing._staged_database(spark, sf_dir)
+    assert seen == [("true", {"parallel": 1})] and spark.table(f"{database}.movie_crew").count()
+    assert [p.name.partition("-")[0] for p in shared.iterdir() if p.name not in before] == ["published"]
